@@ -142,11 +142,12 @@ def faults(raw: dict[str, Any]) -> tuple[list[str], list[str]]:
                 errors.append(f"{where}: {value!r} isn't one of {list(about['choices'])}")
             if about["filled"] and not value:
                 errors.append(f"{where}: must not be empty")
+    sections = {k: v for k, v in raw.items() if isinstance(v, dict)}
     for name, low, high, equal in ORDERED:
-        a, b = (raw.get(name) or {}).get(low), (raw.get(name) or {}).get(high)
+        a, b = (sections.get(name, {}).get(k) for k in (low, high))
         if is_kind(a, NUMBER) and is_kind(b, NUMBER) and (a > b or a == b and not equal):
             errors.append(f"{name}.{low} ({a}) must be {'at most' if equal else 'under'} {high} ({b})")
-    codes = (raw.get("tts_generation") or {}).get("lang_map")
+    codes = sections.get("tts_generation", {}).get("lang_map")
     if isinstance(codes, dict) and len(set(codes.values())) < len(codes):
         errors.append("tts_generation.lang_map: two codes have one name")
     return errors, warnings

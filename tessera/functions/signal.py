@@ -56,13 +56,13 @@ def gain(x: Column, method: str, target_db: float, ceiling_db: float = -1.0) ->
 
 
 def scaled(x: Column, factor: Column) -> Column:
-    return F.transform(x, lambda v: v * factor)
+    return let(factor, lambda f: F.transform(x, lambda v: v * f))
 
 
 def frames(x: Column, frame: int, hop: int) -> Column:
     """Slices of frame samples each hop samples apart; a shorter signal is one frame."""
-    n = F.when(F.size(x) < frame, 0).otherwise(F.floor((F.size(x) - frame) / hop)).cast("int")
-    return F.transform(F.sequence(F.lit(0), n), lambda i: F.slice(x, i * hop + 1, frame))
+    last = lambda y: F.when(F.size(y) < frame, 0).otherwise(F.floor((F.size(y) - frame) / hop)).cast("int")
+    return let(x, lambda y: F.transform(F.sequence(F.lit(0), last(y)), lambda i: F.slice(y, i * hop + 1, frame)))
 
 
 def frame_rms(x: Column, frame: int, hop: int, floor: float = POWER_FLOOR) -> Column:
@@ -113,8 +113,9 @@ def loud_span(x: Column, frame: int = 1024, hop: int = 256, below_db: float = 40
     whole = F.struct(F.lit(0).alias("first"), F.size(x).alias("last"))
 
     def span(levels: Column) -> Column:
-        loud = F.filter(F.sequence(F.lit(0), F.size(levels) - 1), lambda i: F.get(levels, i) >= F.array_max(levels) * 10 ** (-below_db / 20))
-        cut = F.struct((F.array_min(loud) * hop).alias("first"), F.least(F.size(x), F.array_max(loud) * hop + frame).alias("last"))
+        bar = F.array_max(levels) * 10 ** (-below_db / 20)
+        loud = let(bar, lambda b: F.filter(F.sequence(F.lit(0), F.size(levels) - 1), lambda i: F.get(levels, i) >= b))
+        cut = let(loud, lambda k: F.struct((F.array_min(k) * hop).alias("first"), F.least(F.size(x), F.array_max(k) * hop + frame).alias("last")))
         return F.when(F.array_max(levels) <= 0, whole).otherwise(cut)
 
     return F.when(F.size(x) < frame, whole).otherwise(let(frame_rms(x, frame, hop, 0.0), span))

@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Code-point range of each script.
 SCRIPTS = {
@@ -35,7 +36,7 @@ def words(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, WHITE))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(texts: pd.Series) -> pd.Series:
     """Canonical composition, which Spark has no function for."""
     return texts.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFC", t))

@@ -4,14 +4,20 @@ from __future__ import annotations
 
 import io
 import wave
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.models import resample
 
-DECODED = "struct<samples: array<array<double>>, rate: int, channels: int, error: string>"
+DECODED = T.StructType([
+    T.StructField("samples", T.ArrayType(T.ArrayType(T.DoubleType()))), T.StructField("rate", T.IntegerType()),
+    T.StructField("channels", T.IntegerType()), T.StructField("error", T.StringType()),
+])
 
 
 def decode_wav(content: bytes) -> tuple[np.ndarray, int]:
@@ -57,19 +63,20 @@ def decoded(contents: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["samples", "rate", "channels", "error"])
 
 
-def wav_bytes(rate: int):
-    """A column function from samples and their own rate to WAV bytes at rate; null if the clip isn't fit to write."""
+def with_wav(rows: DataFrame, samples: str, own: str, rate: int, out: str) -> DataFrame:
+    """Replace samples at their own rate by WAV bytes at rate, in column out; null if a clip isn't fit to write."""
+    kept = [f for f in rows.schema.fields if f.name not in (samples, own)]
 
-    @F.pandas_udf("binary")
-    def write(samples: pd.Series, own: pd.Series) -> pd.Series:
-        out = []
-        for x, r in zip(samples, own):
-            try:
-                content = encode_wav(resample(np.asarray(x, dtype=float), int(r), rate), rate)
-                with wave.open(io.BytesIO(content)) as back:
-                    out.append(content if (back.getframerate(), back.getnchannels()) == (rate, 1) else None)
-            except Exception:
-                out.append(None)
-        return pd.Series(out, dtype=object)
+    def content(x, r):
+        try:
+            made = encode_wav(resample(np.asarray(x, dtype=float), int(r), rate), rate)
+            with wave.open(io.BytesIO(made)) as back:
+                return made if (back.getframerate(), back.getnchannels()) == (rate, 1) else None
+        except (ValueError, TypeError):  # the row fails, not the job
+            return None
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b[[f.name for f in kept]].assign(**{out: [content(x, r) for x, r in zip(b[samples], b[own])]})
 
-    return write
+    return rows.mapInPandas(write, T.StructType([*kept, T.StructField(out, T.BinaryType())]))

@@ -23,8 +23,9 @@ def read(spark: SparkSession, path: str, schema: T.StructType, tolerant: bool =
         return spark.createDataFrame([], schema)
     if not tolerant:
         return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    corrupt = T.StructField("_corrupt_record", T.StringType())
-    rows = spark.read.schema(T.StructType([*schema.fields, corrupt])).option("mode", "PERMISSIVE").json(path)
+    parsed = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    rows = lines.select(F.from_json("value", parsed, {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
     return rows.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
 
 

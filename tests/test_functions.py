@@ -90,7 +90,8 @@ def test_audio_round_trip(spark):
     frame = spark.createDataFrame([(1, bytearray(good)), (2, bytearray(b"RIFFbroken"))], "id int, b binary")
     rows = {r.id: r.d for r in frame.select("id", audio.decoded("b").alias("d")).collect()}
     assert rows[1].rate == 16000 and rows[1].channels == 1 and np.allclose(np.ravel(rows[1].samples), tone, atol=1e-3) and rows[2].error
-    again = frame.filter("id = 1").select(audio.wav_bytes(24000)(signal.to_mono(audio.decoded("b")["samples"]), F.lit(16000)).alias("w")).first().w
+    mono = frame.filter("id = 1").select(audio.decoded("b").alias("d")).select(signal.to_mono(F.col("d.samples")).alias("x"), F.col("d.rate").alias("own"))
+    again = audio.with_wav(mono, "x", "own", 24000, "w").first().w
     data, rate = audio.decode_wav(bytes(again))
     assert rate == 24000 and len(data) == 2400
     with pytest.raises(ValueError):
