@@ -36,10 +36,10 @@ from tessera.llm.bpe import Memo
 from tessera.llm.common import map_texts
 
 GRADES, BUCKETS = 3, 1 << 18
-SAMPLE, LEAST_DOCS = 6000, 4
-STEPS, RATE, RIDGE = 150, 0.05, 2e-4
+SAMPLE, LEAST_DOCS, SCREEN = 8000, 4, 5.0
+STEPS, RATE, RIDGE = 800, 0.05, 1e-5
 #: Tail probability of the best grade from which a document is selected.
-SELECT_FROM = 0.5
+SELECT_FROM = 0.7
 RATED = T.StructType([T.StructField("grade", T.IntegerType()), T.StructField("features", T.ArrayType(T.IntegerType()))])
 SCORED = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("expected_grade", T.DoubleType()), T.StructField("p_best", T.DoubleType()),
@@ -82,15 +82,33 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def telling(grades: np.ndarray, flat: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Features whose score statistic at zero weights is beyond chance.
+
+    Without this screen a sample smaller than its vocabulary is learned by
+    heart from words that say nothing.
+    """
+    at = np.concatenate(([0.0], np.cumsum(np.bincount(grades, minlength=GRADES)) / len(grades)))
+    residual = 1 - at[grades] - at[grades + 1]  # the likelihood's slope in the score, for each row
+    residual = -(residual - residual.mean())
+    n = np.bincount(flat, minlength=BUCKETS)
+    total = np.bincount(flat, residual[owner], minlength=BUCKETS)
+    spread = residual.var() * n * (1 - n / len(grades))
+    return (n >= LEAST_DOCS) & (total**2 > SCREEN**2 * np.maximum(spread, 1e-12))
+
+
 def fit(rows: list[tuple[int, np.ndarray]]) -> Model:
-    """Full-batch Adam on the likelihood, from zero weights: the same rows give the same model."""
+    """Full-batch Adam on the likelihood, from zero weights: the same rows give the same model.
+
+    Copies of a text teach once.
+    """
+    rows = list({(g, f.tobytes()): (g, f) for g, f in rows}.values())
     grades = np.array([g for g, _ in rows], dtype=np.int64)
     if len(set(grades.tolist())) < 2:
         return Model(np.zeros(BUCKETS), np.zeros(GRADES - 1), int(grades[0]) if len(grades) else GRADES - 1)
     flat = np.concatenate([f for _, f in rows]).astype(np.int64)
     owner = np.repeat(np.arange(len(rows)), [len(f) for _, f in rows])
-    common = np.bincount(flat, minlength=BUCKETS) >= LEAST_DOCS
-    used = common[flat]
+    used = telling(grades, flat, owner)[flat]
     used_ids, flat = np.unique(flat[used], return_inverse=True)
     owner = owner[used]
     # thresholds as a first one and log gaps keep their order
