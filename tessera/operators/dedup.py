@@ -22,8 +22,8 @@ def first_of_each(rows: DataFrame, keys: list[str], order: list[str]) -> DataFra
 def near_pairs(vectors: DataFrame, threshold: float, block: str, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """Pairs of unit vectors of one block with a cosine of at least threshold.
 
-    Rows of a block are dealt into cells of a triangle of slices, so that a
-    large block is compared by many tasks, each of two slices.
+    Rows of a block are dealt into a square of slices, so that a large block is
+    compared by many tasks, each of two slices.
     """
     slices = 8
     tag = F.pmod(F.xxhash64(id_col), F.lit(slices)).cast("int")
