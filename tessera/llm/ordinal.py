@@ -150,14 +150,16 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         features = _features()
 
         def work(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
-            found = [features(t or "") for t in batch["text"].to_pylist()]
+            found = [np.sort(features(t or "")) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["grade"], pa.array(found, pa.list_(pa.int32()))], names=RATED.names)
 
         return work
 
-    rows = map_texts(chosen, RATED, step).toPandas()
-    order = np.argsort([f"{g} {sorted(f)}" for g, f in zip(rows.grade, rows.features)]) if len(rows) else []
-    return fit([(int(rows.grade[i]), np.asarray(rows.features[i])) for i in order])
+    rows = map_texts(chosen, RATED, step).toArrow()
+    lists = rows["features"].combine_chunks()
+    ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+    found = [(g, flat[i:j]) for g, i, j in zip(rows["grade"].to_pylist(), ends, ends[1:])]
+    return fit(sorted(found, key=lambda r: (r[0], xxhash.xxh3_128_digest(r[1].tobytes()))))
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
