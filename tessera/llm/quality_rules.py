@@ -23,6 +23,8 @@ SYMBOLS = r"[#*$%&|<>]"
 LEAST_WORDS, MOST_REPEATED_PERCENT, LEAST_KEPT = 50, 50, 0.5
 #: A line fails if more than so many of its words for each hundred break the rule.
 SEPARATORS_PERCENT, SYMBOLS_PERCENT, SHOUTS_PERCENT = 15, 30, 30
+#: A line of so many words is prose even without final punctuation.
+PROSE_WORDS = 12
 FINAL = r"[.!?:;…。！？।][\"'”’»)\]]*$"
 SEPARATOR_WORD = r"(?:^| )[|>»·•/\\-]+(?= |$)"
 SHOUT_WORD = r"!!+|(?:^|[ ])[\p{Lu}]{4,}(?=[ .,!]|$)"
@@ -75,7 +77,7 @@ def line_fault(line: Column) -> Column:
         .when(over(SYMBOLS + "+", SYMBOLS_PERCENT), "symbols")
         .when(over(SHOUT_WORD, SHOUTS_PERCENT), "shouting")
         .when(line.rlike(BOILERPLATE), "boilerplate")
-        .when(~line.rlike(FINAL), "punctuation")
+        .when((n < PROSE_WORDS) & ~line.rlike(FINAL), "punctuation")
     )
 
 
@@ -129,7 +131,7 @@ fault AS (
     OR 100 * len(regexp_extract_all(b, '[#*$%&|<>]+')) > {SYMBOLS_PERCENT} * n
     OR 100 * (len(regexp_extract_all(b, '!!+')) + len(list_filter(string_split(b, ' '), lambda x: regexp_matches(x, '^\p{{Lu}}{{4,}}([.,!]|$)')))) > {SHOUTS_PERCENT} * n
     OR regexp_matches(b, '{BOILERPLATE}')
-    OR NOT regexp_matches(b, '[.!?:;…。！？।]["''”’»)\]]*$') AS bad
+    OR n < {PROSE_WORDS} AND NOT regexp_matches(b, '[.!?:;…。！？।]["''”’»)\]]*$') AS bad
   FROM lines
 ),
 k AS (
