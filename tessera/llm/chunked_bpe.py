@@ -73,10 +73,10 @@ class Chunk(NamedTuple):
 
 
 class ChunkedEncoder:
-    def __init__(self, path: str, chunks: int = 20_000):
+    def __init__(self, path: str, chunks: int = 6_000):
         self.encode_plain = encoder(path).encode
         self.chunks = Memo(self._chunk, chunks)
-        self.joins = Memo(self.encode_plain, 100_000)
+        self.joins = Memo(self.encode_plain, 30_000)
 
     def _chunk(self, text: str) -> Chunk | None:
         """None: no cut of this chunk agrees, so that it can't be joined by its parts."""
