@@ -59,17 +59,20 @@ def simhash(text: str, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and print, the fingerprint as a signed long, of every whole text."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, digest: bool = False) -> DataFrame:
+    """doc_id and print, the fingerprint as a signed long, of every whole text; digest adds the text's SHA-256."""
+    kind = T.StructType([*PRINTS, T.StructField("digest", T.StringType())]) if digest else PRINTS
+    own = [F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest")] * digest
 
     def step():
         def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch] | Iterable[pa.RecordBatch]:
             prints = np.array([simhash(t or "", shingle) for t in batch["text"].to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(prints.view(np.int64))], names=PRINTS.names)
+            more = [batch["digest"].cast(pa.string())] if digest else []
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(prints.view(np.int64)), *more], names=kind.names)
 
         return work
 
-    return map_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), PRINTS, step)
+    return map_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *own), kind, step)
 
 
 def long(value: int) -> Column:
@@ -142,23 +145,39 @@ def connected_components(links: DataFrame) -> DataFrame:
         edges = persist_table(small.select("e.u", "e.v").filter("u <> v").distinct(), "small-star")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fingerprint (hex) and component_id, the smallest doc_id of its component, of every document."""
-    prints = persist_table(fingerprints(docs, shingle), "prints")
+def components(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """p, the print of its component that stands for it (group) and its smallest doc_id (component_id), for every distinct print."""
     nodes = persist_table(prints.groupBy("print").agg(F.min("doc_id").alias("first")), "nodes")
     stars = connected_components(near_links(nodes.select("print"), radius))
     members = stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())
     named = persist_table(members.join(nodes, members.node == nodes.print).select("node", "root", "first"), "members")
     smallest = named.groupBy("root").agg(F.min("first").alias("component"))
-    linked = _salted(named, "root", "node", smallest).select(F.col("node").alias("print"), "component")
-    classes = nodes.join(linked, "print", "left").select(F.col("print").alias("p"), F.coalesce("component", "first").alias("component_id"))
-    classes = persist_table(classes, "classes")
+    linked = _salted(named, "root", "node", smallest).select(F.col("node").alias("print"), F.col("root").alias("group"), "component")
+    classes = nodes.join(linked, "print", "left").select(
+        F.col("print").alias("p"), F.coalesce("group", "print").alias("group"), F.coalesce("component", "first").alias("component_id")
+    )
+    return persist_table(classes, "classes")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """doc_id, fingerprint (hex) and component_id, the smallest doc_id of its component, of every document."""
+    prints = persist_table(fingerprints(docs, shingle), "prints")
+    classes = components(prints, radius)
     found = prints.join(classes, prints["print"] == classes["p"])
     return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The documents of docs that name their component, one row for each."""
-    found = near_duplicates(docs, shingle, radius)
-    keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(keep, docs.doc_id.cast("long").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id"])
+    """One document of each component of docs: the first by doc_id (nulls last) and then by the digest of its text.
+
+    Documents without an id, or with one that others have too, are told apart
+    by their texts, so a component never loses its last document.
+    """
+    prints = persist_table(fingerprints(docs, shingle, digest=True), "prints")
+    classes = components(prints, radius)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
+    least = prints.groupBy("print").agg(F.min(place).alias("place")).join(classes, F.col("print") == F.col("p"))
+    keep = least.groupBy("group").agg(F.min("place").alias("place")).select(F.col("place.doc_id").alias("_id"), F.col("place.digest").alias("_digest"))
+    own = docs.withColumn("_own", F.sha2(F.coalesce("text", F.lit("")), 256))
+    kept = own.join(keep, own.doc_id.cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_own"]).drop("_own")

@@ -5,8 +5,9 @@ import random
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tessera.llm import copies
+from tessera.llm import copies, simhash
 from tests.conftest import SF_ORACLE
+from tests.llm.test_documents import plain_components, plain_simhash
 
 
 def plain_similarity(a, b):
@@ -48,3 +49,26 @@ def test_links_are_whole(spark):
     want = {(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if sets[a] and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])}
     links = [(bytes(r.a), bytes(r.b)) for r in copies.near_links(rows).collect()]
     assert want and set(links) == want and len(links) == len(want)
+
+
+def one_each(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return sorted(((r.doc_id, r.text) for r in simhash.one_of_each(docs).collect()), key=repr)
+
+
+def test_null_and_repeated_ids_keep_their_texts(spark):
+    a, b, c = (" ".join(f"{w}{i}" for i in range(30)) for w in ("red", "green", "blue"))
+    assert one_each(spark, [(None, a), (None, b), (None, a), (1, c)]) == sorted([(None, a), (None, b), (1, c)], key=repr)
+    assert one_each(spark, [(7, a), (7, b), (7, b), (3, a)]) == [(3, a), (7, b)]
+    assert one_each(spark, [(None, a), (4, a), (None, None), (None, "")])[0] == (4, a)
+
+
+def test_stage_on_odd_documents(spark, odd_docs):
+    """Each component of the plain version keeps exactly one document, none of another."""
+    texts = [r.text for r in odd_docs.collect()]
+    prints = [plain_simhash(t) for t in texts]
+    of = dict(zip(texts, plain_components(prints)))
+    kept = [of[r.text] for r in simhash.one_of_each(odd_docs).collect()]
+    assert sorted(kept) == sorted(set(of.values()))
+    stage = [of[r.text] for r in corpus_pipeline.drop_near_duplicates(spark, odd_docs, SF_ORACLE).collect()]
+    assert len(stage) == len(set(stage)) and set(stage) <= set(kept)
