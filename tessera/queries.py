@@ -233,7 +233,9 @@ def cells_filled(spark, sf):
 def greedy_accept(spark, sf):
     """Exact only in order; tested against a plain loop."""
     cell = F.concat_ws("|", "language", "source", "kind").alias("cell")
-    rows = _judged(spark, sf).select("seq", "language", cell, "key", "fault", F.lit(None).cast("array<float>").alias("vector"))
+    embedded = models.plug(models.stub_embedder, "array<float>")
+    rows = _judged(spark, sf).select("seq", "language", cell, "key", "fault", embedded(F.when(F.col("fault").isNull(), F.col("text"))).alias("v"))
+    rows = rows.withColumn("vector", F.when(F.col("fault").isNull(), F.col("v.value"))).drop("v")
     return dedup.accept_in_order(rows, quota=13, threshold=0.92)
 
 

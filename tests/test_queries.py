@@ -61,6 +61,33 @@ def test_greedy_accept_near_duplicates(spark):
     assert got == {1: "accepted", 2: "near_duplicate", 3: "exact_duplicate", 4: "accepted", 5: "accepted"}
 
 
+def test_greedy_accept_compares_vectors(spark):
+    """The plain loop with the cosine check."""
+    import numpy as np
+
+    from tessera.functions import models
+
+    encode = models.stub_embedder()
+    rows = sorted(Q._judged(spark, SF_SMALL).select("seq", "language", "source", "kind", "key", "fault", "text").collect())
+    keys, vectors, filled, want = set(), {}, {}, {}
+    for r in rows:
+        at = (r.language, r.source, r.kind)
+        if filled.get(at, 0) >= 13:
+            continue
+        want[r.seq] = r.fault or ("exact_duplicate" if (r.language, r.key) in keys else None)
+        if want[r.seq] is None:
+            v, others = np.array(encode(r.text), dtype=np.float32), vectors.setdefault(r.language, [])
+            if others and max(float(v @ o) for o in others) >= 0.92:
+                want[r.seq] = "near_duplicate"
+                continue
+            keys.add((r.language, r.key))
+            others.append(v)
+            filled[at] = filled.get(at, 0) + 1
+            want[r.seq] = "accepted"
+    assert "near_duplicate" in want.values()
+    assert {r.seq: r.outcome for r in Q.greedy_accept(spark, SF_SMALL).collect()} == want
+
+
 def test_model_plugs(spark):
     rows = Q.model_plugs(spark, SF_SMALL).collect()
     assert all((r.error is None) == (r.doc_id % 50 != 0) and r.n_dims == 64 for r in rows)
