@@ -50,20 +50,26 @@ def header_block(kind: Column, page_id: Column, url: Column, sha1: Column, lengt
     return F.concat(shared, F.when(kind == "revisit", revisit).otherwise(line("Content-Length", length.cast("string"))), F.lit(CRLF))
 
 
+def payload_of(pages: DataFrame) -> Column:
+    return F.coalesce(pages["html"].cast("string"), F.lit("")).cast("binary")
+
+
 def decide(pages: DataFrame, min_bytes: int) -> DataFrame:
-    """page_id, url, html, digests, record_type and refers_to of every page.
+    """page_id, url, digests, record_type and refers_to of every page, without payloads.
 
-    The response of a content is found by a partial minimum for each digest, so
-    a content that very many pages share costs one row for each task. The
-    minima are a written table, so that Spark can split the join back where one
-    digest has very many rows.
+    Rows are numbered once, in a written table, since a scan planned again may
+    number them otherwise. The response of a content is found by a partial
+    minimum for each digest, so a content that very many pages share costs one
+    row for each task. The minima are a written table, so that Spark can split
+    the join back where one digest has very many rows.
     """
-    html = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
+    html = payload_of(pages)
     full = pages.select(
-        F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"), html.alias("payload"),
+        F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"),
         F.sha2(html, 256).alias("digest"), base32_of_hex(F.sha1(html)).alias("sha1"), F.octet_length(html).cast("long").alias("payload_bytes"),
         F.monotonically_increasing_id().alias("row"),
     )
+    full = persist_table(full, "warc-rows")
     place = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "row")
     firsts = persist_table(full.groupBy("digest").agg(F.min(place).alias("first")), "warc-firsts")
     found = full.join(firsts, "digest")
@@ -71,7 +77,6 @@ def decide(pages: DataFrame, min_bytes: int) -> DataFrame:
     return found.withColumns({
         "record_type": F.when(alone, "response").otherwise("revisit"),
         "refers_to": F.when(~alone, F.col("first.page_id")),
-        "stored": F.col("first.row") == F.col("row"),
     }).drop("first")
 
 
@@ -81,18 +86,17 @@ def write_archive(pages: DataFrame, min_bytes: int = 0, folder: str | None = Non
     folder = folder or new_path(spark, "warc")
     records = decide(pages, min_bytes)
     block = header_block(F.col("record_type"), F.col("page_id"), F.col("url"), F.col("sha1"), F.col("payload_bytes"), F.col("refers_to"))
-    laid = records.select(
-        "page_id", block.cast("binary").alias("header"), "digest", F.when(F.col("stored"), F.col("payload")).alias("payload"), "stored"
-    )
-    laid.write.partitionBy("stored").parquet(f"{folder}/records")
+    records.select("page_id", block.cast("binary").alias("header"), "digest").write.parquet(f"{folder}/records")
+    html = payload_of(pages)
+    contents = pages.select(F.sha2(html, 256).alias("digest"), html.alias("payload"))
+    contents.dropDuplicates(["digest"]).write.parquet(f"{folder}/payloads")
     return folder
 
 
 def open_archive(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Records (page_id, header, digest) and payloads (digest, payload) of an archive."""
-    schema = "page_id long, header binary, digest string, payload binary, stored boolean"
-    rows = spark.read.schema(schema).option("basePath", f"{folder}/records").parquet(f"{folder}/records")
-    return rows.select("page_id", "header", "digest"), rows.filter("stored").select("digest", "payload")
+    records = spark.read.schema("page_id long, header binary, digest string").parquet(f"{folder}/records")
+    return records, spark.read.schema("digest string, payload binary").parquet(f"{folder}/payloads")
 
 
 def verified(payloads: DataFrame) -> DataFrame:
@@ -109,8 +113,9 @@ def header(name: str) -> Column:
 def export_records(spark: SparkSession, folder: str) -> DataFrame:
     """page_id and record: the bytes of each WARC record as written; revisit records have an empty block."""
     records, payloads = open_archive(spark, folder)
-    joined = records.join(verified(payloads), "digest")
-    block = F.when(header("WARC-Type") == "response", F.col("payload")).otherwise(F.lit(b""))
+    joined = records.join(verified(payloads), "digest", "left")
+    missing = F.raise_error(F.concat(F.lit("missing payload "), "digest")).cast("binary")
+    block = F.when(header("WARC-Type") == "response", F.coalesce("payload", missing)).otherwise(F.lit(b""))
     return joined.select("page_id", F.concat("header", block, F.lit(b"\r\n\r\n")).alias("record"))
 
 
@@ -129,8 +134,8 @@ def read_archive(spark: SparkSession, folder: str, payloads: bool = False) -> Da
     joined = records.select(
         "page_id", "digest", header("WARC-Type").alias("record_type"), header("WARC-Payload-Digest").alias("_said"),
         F.when(page(header("WARC-Refers-To")) != "", page(header("WARC-Refers-To"))).cast("long").alias("refers_to"),
-    ).join(own, "digest")
-    agreed = F.when(F.col("_said") == F.concat(F.lit("sha1:"), "payload_digest"), F.col("payload_digest")).otherwise(F.raise_error(F.lit("header and payload disagree")))
+    ).join(own, "digest", "left")
+    agreed = F.when(F.col("_said") == F.concat(F.lit("sha1:"), "payload_digest"), F.col("payload_digest")).otherwise(F.raise_error(F.lit("payload missing or not as the header says")))
     return joined.select("page_id", "payload_bytes", agreed.alias("payload_digest"), "record_type", "refers_to", *["payload"] * payloads)
 
 
