@@ -15,6 +15,7 @@ import os
 import re
 import unicodedata
 from array import array
+from sys import getsizeof
 
 #: Unicode White_Space, as the regular expressions of the tokenizer files see \s.
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -35,23 +36,34 @@ _WORD_LATIN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LOW}]+|[{_N}]|[^{SPACE}{_
 SPACE_SET = frozenset(chr(c) for c in range(0x3001) if re.match(f"[{SPACE}]", chr(c)))
 _ODD_SPACE = re.compile("[\t\x0b\x0c\r\x85\xa0  -     　]")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
+#: A space between two characters that aren't white space: both kinds of file always cut there.
+SAFE_CUT = re.compile(rf"(?<=[^{SPACE}]) (?=[^{SPACE}])")
+#: Longer texts are encoded slice by slice.
+SLICE = 1 << 20
 
 
 class Memo(dict):
-    """A dict of bounded size: two generations, the older one dropped when the newer is full."""
+    """A dict of bounded bytes: two generations, the older one dropped when the newer is full.
 
-    def __init__(self, make, limit: int = 300_000):
+    Keys of over `longest` characters are worked out each time and not kept:
+    long words hardly come again.
+    """
+
+    def __init__(self, make, budget: int = 48 << 20, longest: int = 256, weigh=getsizeof):
         super().__init__()
-        self.make, self.limit, self.old = make, limit, {}
+        self.make, self.budget, self.longest, self.weigh, self.old, self.held = make, budget, longest, weigh, {}, 0
 
     def __missing__(self, key):
+        if len(key) > self.longest:
+            return self.make(key)
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= self.limit:
-            self.old = dict(self)
+        if self.held >= self.budget:
+            self.old, self.held = dict(self), 0
             self.clear()
         self[key] = value
+        self.held += getsizeof(key) + self.weigh(value) + 100  # the entry's own place
         return value
 
 
@@ -81,13 +93,27 @@ class LibraryEncoder:
         self.table = byte_alphabet()
         self.parts = Memo(self._part)
         if spec["normalizer"] is None and '"ByteLevel", "add_prefix_space": false' in kind and '"use_regex": true' in kind:
-            self.encode = self._encode_spaced
+            self.encode_slice = self._encode_spaced
             self.words = Memo(self._later_word)
         elif '"Lowercase"' in kind and '"NFC"' in kind and '"Removed"' in kind:
-            self.encode = self._encode_split
+            self.encode_slice = self._encode_split
             self.words = Memo(self._lower_word)
         else:
-            self.encode = self.encode_whole
+            self.encode_slice = None
+
+    def encode(self, text: str) -> bytes:
+        """Ids of a text of any length; a long one is cut where every file cuts, if it has such a place."""
+        if self.encode_slice is None:
+            return self.encode_whole(text)
+        if len(text) <= SLICE:
+            return self.encode_slice(text)
+        out, start = [], 0
+        while start < len(text):
+            cut = SAFE_CUT.search(text, start + SLICE)
+            end = cut.start() if cut else len(text)
+            out.append(self.encode_slice(text[start:end]))
+            start = end
+        return b"".join(out)
 
     def encode_whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()

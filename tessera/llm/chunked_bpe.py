@@ -2,7 +2,7 @@
 
 A rolling hash over a text's bytes picks chunk borders from the content alone,
 so equal passages in different documents make equal chunks wherever they stand.
-A chunk is encoded once for each worker process, in a memo of bounded size, and
+A chunk is encoded once for each worker process, in a memo of bounded bytes, and
 its ids are joined to its neighbours'. Ids at a join may differ from those of
 the whole text: the tail of the left chunk and the head of the right one are
 encoded again together. Head and tail end where the pre-tokenizer always cuts,
@@ -18,8 +18,8 @@ row gives one row with doc_id and its result.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
+from sys import getsizeof
 from typing import NamedTuple
 
 import numpy as np
@@ -28,14 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.bpe import SPACE, Memo, encoder
+from tessera.llm.bpe import SAFE_CUT, Memo, encoder
 from tessera.llm.common import map_texts
 
 ENCODED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
 DECODED = T.StructType([*ENCODED.fields, T.StructField("decoded", T.StringType())])
 #: Bytes that the rolling hash sees; chunk lengths in bytes, with the mean a power of two.
 WINDOW_STEPS, LEAST, MEAN, MOST = 5, 256, 1024, 4096
-_CUT = re.compile(rf"(?<=[^{SPACE}]) (?=[^{SPACE}])")
+#: Bytes hashed at once; bytes of chunks and of joins that a worker keeps.
+BLOCK, KEPT_CHUNKS, KEPT_JOINS = 1 << 20, 12 << 20, 8 << 20
 _GEAR = np.random.default_rng(20240229).integers(0, 2**64, 256, dtype=np.uint64)
 
 
@@ -44,13 +45,17 @@ def chunk_borders(data: bytes) -> list[int]:
     if len(data) <= LEAST:
         return [len(data)] if data else []
     raw = np.frombuffer(data, dtype=np.uint8)
-    rolled = _GEAR[raw]
-    for step in range(WINDOW_STEPS):  # after step k the hash covers the last 2 ** (k + 1) bytes
-        wide = 1 << step
-        rolled[wide:] += rolled[:-wide] << np.uint64(wide)
-    hits = np.flatnonzero((rolled >> np.uint64(64 - MEAN.bit_length() + 1)) == 0) + 1
+    hits: list[int] = []
+    for at in range(0, len(raw), BLOCK):
+        lead = min(at, 1 << WINDOW_STEPS)  # the bytes before the block that its hashes see
+        rolled = _GEAR[raw[at - lead : at + BLOCK]]
+        for step in range(WINDOW_STEPS):  # after step k the hash covers the last 2 ** (k + 1) bytes
+            wide = 1 << step
+            rolled[wide:] += rolled[:-wide] << np.uint64(wide)
+        found = np.flatnonzero((rolled[lead:] >> np.uint64(64 - MEAN.bit_length() + 1)) == 0)
+        hits += (found + at + 1).tolist()
     ends, start = [], 0
-    for hit in [*hits.tolist(), len(data)]:
+    for hit in [*hits, len(data)]:
         while hit - start > MOST:
             ends.append(start := _whole(raw, start + MOST))
         if hit - start >= LEAST or hit == len(data):
@@ -73,15 +78,15 @@ class Chunk(NamedTuple):
 
 
 class ChunkedEncoder:
-    def __init__(self, path: str, chunks: int = 6_000):
+    def __init__(self, path: str, chunk_bytes: int = KEPT_CHUNKS, join_bytes: int = KEPT_JOINS):
         self.encode_plain = encoder(path).encode
-        self.chunks = Memo(self._chunk, chunks)
-        self.joins = Memo(self.encode_plain, 30_000)
+        self.chunks = Memo(self._chunk, chunk_bytes, MOST + 4, lambda chunk: sum(map(getsizeof, chunk or ())))
+        self.joins = Memo(self.encode_plain, join_bytes, MOST)
 
     def _chunk(self, text: str) -> Chunk | None:
         """None: no cut of this chunk agrees, so that it can't be joined by its parts."""
         ids = self.encode_plain(text)
-        cuts = [m.start() for m in _CUT.finditer(text)]
+        cuts = [m.start() for m in SAFE_CUT.finditer(text)]
         first = next((c for c in cuts if ids.startswith(self.encode_plain(text[:c]))), None)
         last = next((c for c in reversed(cuts) if ids.endswith(self.encode_plain(text[c:]))), None)
         if first is None or last is None or first > last:

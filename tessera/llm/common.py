@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,18 +15,21 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
-#: Rows of whole documents in one Arrow batch; bounds a Python worker's memory.
-ARROW_ROWS = 1000
+#: Rows and bytes of whole documents in one Arrow batch; they bound a Python worker's memory.
+ARROW_ROWS, ARROW_BYTES = 1000, 16 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as the session names it.
 
-    Only where the session names none (tests, a single machine) a temporary
-    folder is made for the life of the process.
+    Only where the session names none and runs in one process (tests, a single
+    machine) a temporary folder is made for the life of the process.
     """
     base = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"{CHECKPOINT_KEY} must name a folder that all executors of {master} share")
         base = "file://" + tempfile.mkdtemp(prefix="tessera-")
         atexit.register(shutil.rmtree, base.removeprefix("file://"), ignore_errors=True)
         spark.conf.set(CHECKPOINT_KEY, base)
@@ -42,30 +45,50 @@ def persist_table(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.tessera_path = path
+    return written
+
+
+def drop_table(written: DataFrame | None) -> None:
+    """Delete the files of a table that persist_table wrote, once nothing reads it any more."""
+    if written is not None:
+        context = written.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(written.tessera_path)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bound_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Keep Arrow batches of whole texts small; a smaller setting of the session's own stays."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key, "10000")) > rows:
-        spark.conf.set(key, str(rows))
+    """Keep Arrow batches of whole texts small, by rows and by bytes; smaller settings of the session's own stay."""
+    for what, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", ARROW_BYTES)):
+        key = f"spark.sql.execution.arrow.{what}"
+        now = spark.conf.get(key).rstrip("bB")
+        if now.lstrip("-").isdigit() and not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
+def fresh_name(df: DataFrame, base: str) -> str:
+    """A column name that df doesn't have, whatever its letters' case."""
+    taken, name = {c.lower() for c in df.columns}, base
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def by_bytes(texts: list[str], limit: int) -> Iterator[tuple[int, int]]:
-    """Slices [i, j) of texts with about limit characters each, one text at least."""
-    i = size = 0
-    for j, text in enumerate(texts):
-        if size and size + len(text) > limit:
+def by_size(sizes: Sequence[int], limit: int) -> Iterator[tuple[int, int]]:
+    """Slices [i, j) of items with sizes of about limit in sum, one item at least."""
+    i = total = 0
+    for j, size in enumerate(sizes):
+        if total and total + size > limit:
             yield i, j
-            i, size = j, 0
-        size += len(text)
-    if i < len(texts):
-        yield i, len(texts)
+            i, total = j, 0
+        total += size
+    if i < len(sizes):
+        yield i, len(sizes)
 
 
 def map_texts(

@@ -172,6 +172,69 @@ def test_counts_equal_the_library(texts):
     assert counter.count(texts) == [len(x) for x in counter.library.encode(texts)]
 
 
+SPACED = st.lists(st.sampled_from([" ", "  ", "   ", "▁", "\n", "\t", "a", "the", "ing", "日", "本", "é", "<s>", "0", "x" * 30, ".", "\u3000", "ﬁ", "\x00"]), max_size=16)
+
+
+@settings(max_examples=300, deadline=None)
+@given(text=SPACED.map("".join))
+def test_runs_of_spaces_are_split(text):
+    counter = token_counts.counter(PIECE)
+    assert counter.count([text]) == [len(counter.library.encode(text))]
+
+
+@settings(max_examples=200, deadline=None)
+@given(text=st.lists(SPACED.map("".join), min_size=4, max_size=12).map("".join))
+def test_long_parts_and_slices(text):
+    """As for texts of millions of characters, with smaller limits."""
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(token_counts, "LONG", 20)
+        patch.setattr(token_counts, "SLICE", 50)
+        counter = token_counts.counter(PIECE)
+        assert counter.count([text]) == [len(counter.library.encode(text))]
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+@settings(max_examples=100, deadline=None)
+@given(text=st.lists(st.sampled_from(["the cat", " ", "  ", "\n", "日本", "é́", "<|endoftext|>", "x" * 40, ". "]), max_size=30).map("".join))
+def test_long_texts_are_encoded_in_slices(path, text):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr("tessera.llm.bpe.SLICE", 16)
+        patch.setattr(chunked_bpe, "BLOCK", 64)
+        lib = encoder(path)
+        assert lib.encode(text) == lib.encode_whole(text)
+        if path == BYTE:
+            assert chunked_bpe.ChunkedEncoder(BYTE).encode(text) == lib.encode_whole(text)
+
+
+def test_chunk_borders_do_not_depend_on_blocks(monkeypatch):
+    data = np.random.default_rng(1).integers(0, 256, 200_000, dtype=np.uint8).tobytes()
+    whole = chunked_bpe.chunk_borders(data)
+    monkeypatch.setattr(chunked_bpe, "BLOCK", 777)
+    assert chunked_bpe.chunk_borders(data) == whole and len(whole) > 50
+
+
+def test_memo_is_bounded_by_bytes():
+    from tessera.llm.bpe import Memo
+
+    made = []
+    memo = Memo(lambda k: made.append(k) or k.upper(), budget=50_000, longest=100)
+    for i in range(5000):
+        assert memo[f"k{i}"] == f"K{i}"
+    assert memo.held < 51_000 and len(memo) + len(memo.old) < 600 and memo["k4999"] == "K4999" and made.count("k4999") == 1
+    assert memo["x" * 101] == "X" * 101 and "x" * 101 not in memo
+
+
+def test_texts_of_megabytes(spark):
+    """A long text without spaces, one of white space and one of words, counted and encoded whole."""
+    texts = ["日本語" * 70_000, " \n" * 300_000, "some words, and more. " * 60_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counted = {r.doc_id: (r.n_bytes, r.n_tokens) for r in token_counts.count_tokens(docs, PIECE).collect()}
+    lib = token_counts.counter(PIECE).library
+    assert counted == {i: (len(t.encode()), len(lib.encode(t))) for i, t in enumerate(texts)}
+    ids = {r.doc_id: len(r.ids) for r in chunked_bpe.encode_documents(docs, BYTE).collect()}
+    assert ids == {i: len(library(BYTE)(t)) for i, t in enumerate(texts)}
+
+
 @pytest.mark.parametrize("name", ["op1_best_fit_packing", "op3_token_files", "op4_chunked_bpe", "op5_token_counts"])
 def test_empty(spark, empty_dir, name):
     assert getattr(queries, name)(spark, empty_dir).count() == 0
