@@ -48,6 +48,10 @@ from tessera.llm.common import bound_batches, new_path, persist_table, spread_pr
 
 MAGIC_INDEX, MAGIC_TABLE, MAGIC_SEEK = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 FRAME_IDS = 1 << 16
+#: Bytes of input, as the planner knows them, for each shard.
+SHARD_BYTES = 512 << 20
+#: The driver plans a border for each shard; beyond so many, shards grow.
+MOST_SHARDS = 1 << 19
 MANIFEST = T.StructType([
     T.StructField("shard", T.LongType()), T.StructField("path", T.StringType()),
     T.StructField("documents", T.LongType()), T.StructField("tokens", T.LongType()),
@@ -162,7 +166,9 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str
     folder = folder or new_path(spark, "tokens")
     bound_batches(spark)
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("_t", F.xxhash64("text"))
-    ordered = keyed.repartitionByRange("doc_id", "_t").sortWithinPartitions("doc_id", "_t").drop("_t")
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_SHARDS, size // SHARD_BYTES))
+    ordered = keyed.repartitionByRange(shards, "doc_id", "_t").sortWithinPartitions("doc_id", "_t").drop("_t")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(tokenizer).encode, np.array([end_id], dtype="<u4").tobytes()
@@ -192,7 +198,7 @@ def read_token_files(manifest: DataFrame, wanted: Iterable[int] | None = None) -
     spark: SparkSession = manifest.sparkSession
     keep = None if wanted is None else set(wanted)
     shards = spread_prefix(manifest.select("shard", "path", "folder", "tokens"), "shard", "tokens", "base")
-    shards = shards.repartition(max(1, min(2000, manifest.count())), "shard")
+    shards = shards.repartition(max(1, manifest.count()), "shard")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
