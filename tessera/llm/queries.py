@@ -76,4 +76,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_quality_rules": quality_rules.ORACLE, "op8_warc_archive": warc.ORACLE}
+    return {"op6_quality_rules": quality_rules.ORACLE, "op7_merkle_fingerprints": merkle.ORACLE, "op8_warc_archive": warc.ORACLE}
