@@ -2,9 +2,10 @@
 
 Payload bytes are stored once for each distinct content, under their SHA-256;
 the exact header block of every record is stored apart, with the digest that it
-points to. A record as it was written is its header block and the payload, put
-together by a join on the digest; every payload read is hashed again and must
-have the digest that it is stored under.
+points to. Urls are escaped, so none holds a header line of its own. A record
+as it was written is its header block and the payload, put together by a join
+on the digest; every payload read is hashed again and must have the digest that
+it is stored under.
 
 Both parts are Parquet tables in one folder, so any store that Spark writes to
 will do and a lost task is written again. export_records gives whole WARC
@@ -21,30 +22,46 @@ archives; other columns are ignored.
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import base32_of_hex, new_path, persist_table
 
 CRLF = "\r\n"
+#: Characters that would end a header line for some reader, or that no URI has, and how they are written.
+ESCAPES = {c: "".join(f"%{byte:02X}" for byte in c.encode()) for c in (*map(chr, range(0x20)), " ", "\x7f", "\x85", "\u2028", "\u2029")}
+
+
+def target_uri(url: Column) -> Column:
+    """The url with white space and control characters percent-encoded, so that it is one word of one line."""
+    out = url
+    for character, code in ESCAPES.items():
+        out = F.replace(out, F.lit(character), F.lit(code))
+    return F.when(url.rlike(r"[\x00-\x20\x7f\x85\u2028\u2029]"), out).otherwise(url)
+
 
+def record_id(page_id: Column, row: Column) -> Column:
+    """A record's URI, of its page and its place among the archive's records; the place alone makes it unique."""
+    return F.concat(F.lit("<urn:tessera:page:"), F.coalesce(page_id.cast("string"), F.lit("none")), F.lit(":"), row.cast("string"), F.lit(">"))
 
-def header_block(kind: Column, page_id: Column, url: Column, sha1: Column, length: Column, first: Column) -> Column:
-    """The header block of a WARC/1.1 record, as UTF-8 text."""
-    name = lambda i: F.concat(F.lit("<urn:tessera:page:"), i.cast("string"), F.lit(">"))
+
+def header_block(kind: Column, own: Column, url: Column, sha1: Column, length: Column, first: Column, date: Column) -> Column:
+    """The header block of a WARC/1.1 record, as UTF-8 text; own and first are record ids."""
     line = lambda key, value: F.concat(F.lit(key + ": "), value, F.lit(CRLF))
-    clean = F.regexp_replace(url, r"[\r\n]", "")
     shared = F.concat(
         F.lit("WARC/1.1" + CRLF),
         line("WARC-Type", kind),
-        line("WARC-Record-ID", F.coalesce(name(page_id), F.lit("<urn:tessera:page:none>"))),
-        line("WARC-Target-URI", clean),
+        line("WARC-Record-ID", own),
+        line("WARC-Date", date),
+        line("WARC-Target-URI", target_uri(url)),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), sha1)),
         line("Content-Type", F.lit("text/html; charset=utf-8")),
     )
     revisit = F.concat(
         line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
-        line("WARC-Refers-To", F.coalesce(name(first), F.lit("<urn:tessera:page:none>"))),
+        line("WARC-Refers-To", first),
         line("Content-Length", F.lit("0")),
     )
     return F.concat(shared, F.when(kind == "revisit", revisit).otherwise(line("Content-Length", length.cast("string"))), F.lit(CRLF))
@@ -55,7 +72,7 @@ def payload_of(pages: DataFrame) -> Column:
 
 
 def decide(pages: DataFrame, min_bytes: int) -> DataFrame:
-    """page_id, url, digests, record_type and refers_to of every page, without payloads.
+    """page_id, url, digests, row, record_type and refers_to (a record id) of every page, without payloads.
 
     Rows are numbered once, in a written table, since a scan planned again may
     number them otherwise. The response of a content is found by a partial
@@ -76,16 +93,21 @@ def decide(pages: DataFrame, min_bytes: int) -> DataFrame:
     alone = (F.col("payload_bytes") < min_bytes) | (F.col("first.row") == F.col("row"))
     return found.withColumns({
         "record_type": F.when(alone, "response").otherwise("revisit"),
-        "refers_to": F.when(~alone, F.col("first.page_id")),
+        "refers_to": F.when(~alone, record_id(F.col("first.page_id"), F.col("first.row"))),
     }).drop("first")
 
 
-def write_archive(pages: DataFrame, min_bytes: int = 0, folder: str | None = None) -> str:
-    """Write pages (page_id, url, html) as an archive and give its folder."""
+def write_archive(pages: DataFrame, min_bytes: int = 0, folder: str | None = None, date: str | None = None) -> str:
+    """Write pages (page_id, url, html) as an archive and give its folder.
+
+    date: the records' WARC-Date, as 2024-02-29T12:00:00Z; by default the time of writing, as pages have none.
+    """
     spark = pages.sparkSession
     folder = folder or new_path(spark, "warc")
     records = decide(pages, min_bytes)
-    block = header_block(F.col("record_type"), F.col("page_id"), F.col("url"), F.col("sha1"), F.col("payload_bytes"), F.col("refers_to"))
+    dated = F.lit(date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ"))
+    own = record_id(F.col("page_id"), F.col("row"))
+    block = header_block(F.col("record_type"), own, F.col("url"), F.col("sha1"), F.col("payload_bytes"), F.col("refers_to"), dated)
     records.select("page_id", block.cast("binary").alias("header"), "digest").write.parquet(f"{folder}/records")
     html = payload_of(pages)
     contents = pages.select(F.sha2(html, 256).alias("digest"), html.alias("payload"))
@@ -106,7 +128,8 @@ def verified(payloads: DataFrame) -> DataFrame:
 
 
 def header(name: str) -> Column:
-    value = F.regexp_extract(F.decode("header", "UTF-8"), rf"(?m)^{name}: ([^\r\n]*)", 1)
+    """A header's value, or null: a line is what stands between two CRLF and nothing else."""
+    value = F.regexp_extract(F.decode("header", "UTF-8"), rf"\r\n{name}: ([^\r\n]*)\r\n", 1)
     return F.when(value != "", value)
 
 
@@ -130,7 +153,7 @@ def read_archive(spark: SparkSession, folder: str, payloads: bool = False) -> Da
     own = verified(stored).select(
         "digest", F.octet_length("payload").cast("long").alias("payload_bytes"), base32_of_hex(F.sha1("payload")).alias("payload_digest"), *["payload"] * payloads
     )
-    page = lambda value: F.regexp_extract(value, r":page:(-?\d+)>", 1)
+    page = lambda value: F.regexp_extract(value, r"^<urn:tessera:page:(-?\d+):\d+>$", 1)
     joined = records.select(
         "page_id", "digest", header("WARC-Type").alias("record_type"), header("WARC-Payload-Digest").alias("_said"),
         F.when(page(header("WARC-Refers-To")) != "", page(header("WARC-Refers-To"))).cast("long").alias("refers_to"),

@@ -31,7 +31,8 @@ def test_missing_payloads_raise(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "one"), (2, "v", "two")], "page_id long, url string, html string")
     archive = warc.write_archive(pages, folder=f"{tmp_path}/archive")
     records, payloads = warc.open_archive(spark, archive)
-    kept = payloads.filter("payload = CAST('one' AS BINARY)").localCheckpoint()
+    payloads.filter("payload = CAST('one' AS BINARY)").write.parquet(f"{tmp_path}/kept")
+    kept = spark.read.parquet(f"{tmp_path}/kept")
     with pytest.MonkeyPatch.context() as patch:
         patch.setattr(warc, "open_archive", lambda *_: (records, kept))
         for read in (warc.read_archive, warc.export_records):
