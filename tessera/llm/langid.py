@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import cache
 from typing import NamedTuple
 
@@ -37,6 +37,8 @@ from tessera.llm.common import map_texts
 SIZES, SLOTS_BITS, HASHES = (3, 4), 20, 3
 SAMPLE, LEAST_SHARE = 1500, 5e-5
 UNKNOWN = "und"
+#: Characters of a text whose n-grams are held at once.
+BLOCK = 1 << 18
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 GRAMS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("size", T.IntegerType()), T.StructField("gram", T.LongType()), T.StructField("n", T.LongType())])
 FOUND = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -48,14 +50,19 @@ def letters() -> np.ndarray:
     return np.fromiter((unicodedata.category(chr(c))[0] == "L" for c in range(sys.maxunicode + 1)), dtype=bool)
 
 
-def normal(text: str) -> np.ndarray:
-    """Code points of the lower-cased text; a run of other characters than letters is one space."""
+def normal(text: str, lead: np.ndarray | None = None) -> np.ndarray:
+    """Code points of the lower-cased text after a space; a run of other characters than letters is one space.
+
+    lead: what a slice of a longer text goes on from, in place of the space.
+    """
     codes = np.frombuffer(text.lower().encode("utf-32-le"), dtype=np.uint32)
     is_letter = letters()[codes]
     codes = np.where(is_letter, codes, 32)
+    lead = np.array([32], dtype=np.uint32) if lead is None else lead
     keep = is_letter.copy()
     keep[1:] |= is_letter[:-1]
-    return np.concatenate(([32], codes[keep])).astype(np.uint64) if is_letter.any() else codes[:0].astype(np.uint64)
+    keep[:1] |= lead[-1] != 32
+    return np.concatenate((lead, codes[keep])).astype(np.uint64)
 
 
 def grams(codes: np.ndarray, size: int) -> np.ndarray:
@@ -68,6 +75,26 @@ def grams(codes: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def gram_blocks(text: str) -> Iterator[tuple[int, np.ndarray]]:
+    """(size, hashes of n-grams) of a whole text, slice by slice; nothing for a text without a letter.
+
+    Slices start at a space, so that no letter's lower case depends on another slice.
+    """
+    start, lead, any_letter, held = 0, None, False, []
+    while start < len(text):
+        cut = text.find(" ", start + BLOCK) if len(text) - start > BLOCK else -1
+        end = cut if cut > 0 else len(text)
+        codes = normal(text[start:end], lead)
+        for size in SIZES:
+            fresh = codes[max(0, (0 if lead is None else len(lead)) - size + 1) :]
+            held.append((size, grams(fresh, size)))
+        any_letter = any_letter or bool((codes != 32).any())
+        if any_letter:
+            yield from held
+            held = []
+        start, lead = end, codes[1 - max(SIZES) :].astype(np.uint32)
+
+
 class Model(NamedTuple):
     langs: list[str]  # most training text first
     masks: np.ndarray  # (slots, words of 64 languages)
@@ -90,18 +117,19 @@ def build(sets: dict[str, np.ndarray]) -> Model:
 
 
 def predict(model: Model, text: str | None) -> tuple[str, float]:
-    codes = normal(text or "")
-    if not len(codes) or not model.langs:
+    hits, total, known = np.zeros(len(model.langs)), 0, False
+    for _, hashes in gram_blocks(text or ""):
+        known = True
+        if len(hashes) and model.langs:
+            first, *rest = slots(hashes)
+            found = model.masks[first]
+            for more in rest:
+                found &= model.masks[more]
+            hits += [np.count_nonzero(found[:, i // 64] & np.uint64(1 << (i % 64))) for i in range(len(model.langs))]
+            total += len(hashes)
+    if not known or not model.langs:
         return UNKNOWN, 0.0
-    hashes = np.concatenate([grams(codes, size) for size in SIZES])
-    if not len(hashes):
-        return model.langs[0], 0.0
-    first, *rest = slots(hashes)
-    found = model.masks[first]
-    for more in rest:
-        found &= model.masks[more]
-    hits = np.array([np.count_nonzero(found[:, i // 64] & np.uint64(1 << (i % 64))) for i in range(len(model.langs))], dtype=float)
-    true = np.maximum(0.0, (hits - len(hashes) * model.false_rate) / (1 - model.false_rate))
+    true = np.maximum(0.0, (hits - total * model.false_rate) / (1 - model.false_rate))
     best = int(true.argmax())
     if true[best] == 0:
         return model.langs[0], 0.0
@@ -119,14 +147,14 @@ def train(docs: DataFrame, sample: int = SAMPLE, least_share: float = LEAST_SHAR
 
     def step():
         def work(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
-            by_lang: dict[str, list[np.ndarray]] = {}
+            by_set: dict[tuple[str, int], list[np.ndarray]] = {}
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
-                by_lang.setdefault(lang, []).append(normal(text))
-            for lang, texts in by_lang.items():
-                for size in SIZES:
-                    found, n = np.unique(np.concatenate([grams(t, size) for t in texts]), return_counts=True)
-                    columns = [pa.array([lang] * len(n)), pa.array(np.full(len(n), size, np.int32)), pa.array(found.view(np.int64)), pa.array(n)]
-                    yield pa.RecordBatch.from_arrays(columns, names=GRAMS.names)
+                for size, hashes in gram_blocks(text):
+                    by_set.setdefault((lang, size), []).append(hashes)
+            for (lang, size), hashes in by_set.items():
+                found, n = np.unique(np.concatenate(hashes), return_counts=True)
+                columns = [pa.array([lang] * len(n)), pa.array(np.full(len(n), size, np.int32)), pa.array(found.view(np.int64)), pa.array(n)]
+                yield pa.RecordBatch.from_arrays(columns, names=GRAMS.names)
 
         return work
 
