@@ -1,15 +1,26 @@
-"""Near copies by the exact similarity of word shingles.
+"""Near copies by the exact similarity of word shingles, on top of SimHash classes.
 
 Two texts are near copies if the Jaccard similarity of their sets of five-word
 shingles is 0.8 or more. Any two such sets share one of their first
-n - ceil(0.8 n) + 1 shingles in any one order of all shingles, so a join on
-those finds every pair. The order puts shingles that are frequent in a sample
-last and goes by hash otherwise; it steers the work, not the result. Pairs
-whose sizes or places leave too little to share are dropped, the others are
-tested on their whole texts.
+n - ceil(0.8 n) + 1 shingles in any one order of all shingles, so texts that
+share none of these need not be compared. The order puts shingles that are
+frequent in a sample last and goes by hash otherwise; it steers the work, not
+the result.
+
+A shingle that several texts have among their first is a bucket. A group of
+near copies shares hundreds of buckets, and its pairs grow with the square of
+its size, so pairs are not listed: first every text is compared with one text
+only, the one that is the least of most of its buckets. The links found, and
+SimHash's classes, join texts to groups; a bucket whose texts are all of one
+group is done with. In the others, texts of different groups are compared,
+each pair once, if their sizes and the shingles' places leave enough to share.
+So no link between two groups is missed, and no pair inside a group is needed.
 
 Texts with fewer words than a shingle are one shingle; texts without words are
-copies of nothing.
+copies of nothing, but for SimHash's classes. Shingles are compared by 64-bit
+hashes. Null texts count as empty; rows with equal texts are one text; rows
+without a doc_id, or with one that others have too, are told apart by their
+texts. An empty table gives no rows; other columns are kept as they are.
 """
 
 from __future__ import annotations
@@ -17,103 +28,197 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import map_texts, persist_table
-from tessera.llm.simhash import connected_components
+from tessera.llm import simhash
+from tessera.llm.bpe import Memo
+from tessera.llm.common import drop_table, map_texts, persist_table
+from tessera.llm.simhash import connected_components, text_digest
 
 SHINGLE, SEED = 5, 42
 #: Least similarity, in tenths.
 TENTHS = 8
 #: Texts drawn to find frequent shingles, how often a frequent one is met there, and the most of them.
 DRAWN, OFTEN, MOST = 4000, 4, 50_000
-SETS = T.StructType([T.StructField("key", T.LongType()), T.StructField("n", T.LongType()), T.StructField("first", T.ArrayType(T.LongType()))])
-PAIRS = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
+#: Rows of a table (of about 50 bytes each) up to which it is broadcast; a larger one is joined by a shuffle.
+BROADCAST_ROWS = 400_000
+#: Texts whose shingles a task remembers to have given, so that copies give them once.
+SEEN = 200_000
+_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+FEATURES = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("key", T.LongType()),
+    T.StructField("print", T.LongType()), T.StructField("n", T.LongType()), T.StructField("first", T.ArrayType(T.LongType())),
+])
+LINKS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+SHINGLES = T.StructType([T.StructField("h", T.LongType()), T.StructField("n", T.LongType())])
+
+_WORDS: list[Memo] = []
+
+
+def shingles(text: str | None) -> np.ndarray:
+    """Sorted distinct hashes of a text's shingles."""
+    if not _WORDS:
+        _WORDS.append(Memo(lambda w: xxhash.xxh64_intdigest(w, SEED), 24 << 20))
+    found, words = [], []
+    for words in simhash.word_blocks(text or "", SHINGLE):
+        own = np.fromiter(map(_WORDS[0].__getitem__, words), dtype=np.uint64, count=len(words))
+        n = len(own) - SHINGLE + 1
+        if n > 0:
+            h = np.zeros(n, dtype=np.uint64)
+            for i in range(SHINGLE):
+                h = (h ^ own[i : i + n]) * _MULTIPLIER
+                h ^= h >> np.uint64(29)
+            found.append(h)
+    if not found:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)] if words else [], dtype=np.uint64)
+    return np.unique(np.concatenate(found))
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    small, large = sorted((len(a), len(b)))
+    if not small or 10 * small < TENTHS * large:
+        return False
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return 10 * shared >= TENTHS * (small + large - shared)
+
+
+def first_shingles(found: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """The shingles that any near copy shares one of, in the common order."""
+    n = len(found)
+    late = frequent[np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)] == found if len(frequent) else np.zeros(n, bool)
+    return np.concatenate([found[~late], found[late]])[: n - -(-TENTHS * n // 10) + 1 if n else 0]
+
+
+def frequent_shingles(docs: DataFrame) -> np.ndarray:
+    """Hashes, sorted, of the shingles that a sample of the texts has often, MOST of them at most."""
+    drawn = docs.select("text").sample(min(1.0, DRAWN / max(1, docs.count())), 7)
 
+    def step():
+        def work(batch: pa.RecordBatch):
+            sets = [shingles(t) for t in batch["text"].to_pylist()]
+            h, n = np.unique(np.concatenate(sets), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=SHINGLES.names)
 
-def shingles(text: str | None) -> set[bytes]:
-    words = (text or "").encode().lower().split()
-    if len(words) < SHINGLE:
-        return {b" ".join(words)} if words else set()
-    return set(map(b" ".join, zip(*(words[i:] for i in range(SHINGLE)))))
+        return work
 
+    counts = map_texts(drawn, SHINGLES, step).groupBy("h").agg(F.sum("n").alias("n"))
+    rows = counts.filter(F.col("n") >= OFTEN).orderBy(F.desc("n"), "h").limit(MOST).collect()
+    return np.sort(np.array([r.h for r in rows], dtype=np.int64).view(np.uint64))
 
-def text_id(text: Column) -> Column:
-    """Half the SHA-256 of a text; a null text counts as empty."""
-    return F.unhex(F.substring(F.sha2(F.coalesce(text, F.lit("")), 256), 1, 32))
 
+def features(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """For every document its digest, a 64-bit key of its text, SimHash print, count of shingles and first shingles.
 
-def first_shingles(texts: DataFrame, frequent: np.ndarray, whole: bool = False) -> DataFrame:
-    """n, the size of each text's set, and the hashes that any near copy shares one of (whole: all hashes)."""
+    Copies in one task give the first shingles once.
+    """
 
     def step():
+        seen: set[bytes] = set()
+
         def work(batch: pa.RecordBatch):
-            sizes, firsts = [], []
-            for text in batch["text"].to_pylist():
-                found = np.unique(np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in shingles(text)), dtype=np.uint64))
-                late = frequent[np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)] == found if len(frequent) else np.zeros(len(found), bool)
-                n = len(found)
-                keep = n if whole else n - -(-TENTHS * n // 10) + 1
-                firsts.append(np.concatenate([found[~late], found[late]])[:keep].view(np.int64))
-                sizes.append(n)
-            yield pa.RecordBatch.from_arrays([batch["key"], pa.array(sizes, pa.int64()), pa.array(firsts, pa.list_(pa.int64()))], names=SETS.names)
+            prints, sizes, firsts = [], [], []
+            for digest, text in zip(batch["digest"].to_pylist(), batch["text"].to_pylist()):
+                found = shingles(text)
+                prints.append(simhash.simhash(text or ""))
+                sizes.append(len(found))
+                firsts.append(np.zeros(0, np.int64) if digest in seen else first_shingles(found, frequent).view(np.int64))
+                if len(seen) < SEEN:
+                    seen.add(digest)
+            columns = [batch["doc_id"], batch["digest"].cast(pa.binary()), batch["key"], pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(firsts, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=FEATURES.names)
 
         return work
 
-    return map_texts(texts.select("key", "text"), SETS, step)
+    own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_digest(docs["text"]).alias("digest"), F.xxhash64(docs["text"]).alias("key"), docs["text"].alias("text"))
+    return map_texts(own, FEATURES, step)
 
 
-def frequent_shingles(texts: DataFrame) -> np.ndarray:
-    """Hashes, sorted, of the shingles that a sample of the texts has often, MOST of them at most."""
-    drawn = texts.sample(min(1.0, DRAWN / max(1, texts.count())), 7)
-    counts = first_shingles(drawn, np.zeros(0, np.uint64), whole=True).select(F.explode("first").alias("h")).groupBy("h").count()
-    rows = counts.filter(F.col("count") >= OFTEN).orderBy(F.desc("count"), "h").limit(MOST).collect()
-    return np.sort(np.array([r.h for r in rows], dtype=np.int64).view(np.uint64))
+def broadcast_if_small(table: DataFrame) -> DataFrame:
+    """table, which must be a written one, to be broadcast if it has few rows."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
 
-def near_links(texts: DataFrame) -> DataFrame:
-    """All pairs (a, b), a < b, of near copies among different texts (id, text) with unique ids.
+def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Links (a, b) between groups, a < b, from the pairs of keys (ka, kb) whose texts are near copies.
 
-    Candidates are pairs of 64-bit keys; texts that share a key are all tested.
+    nodes: (key, digest, group) of every distinct text; only texts in pairs
+    move, each once for every pair. Texts that share a key are all compared.
     """
-    texts = texts.select("id", "text", F.xxhash64("text").alias("key"))
-    sets = persist_table(first_shingles(texts, frequent_shingles(texts)), "shingles")
-    rows = sets.select("key", "n", F.posexplode("first").alias("at", "h"))
-    packed = F.shiftleft("n", 32).bitwiseOR(F.col("at").cast("long"))
-    side = lambda c: rows.select(F.col("key").alias(f"k{c}"), packed.alias(f"p{c}"), F.col("h").alias(f"h{c}"))
-    size, at = (lambda c: F.shiftright(f"p{c}", 32)), (lambda c: F.col(f"p{c}").bitwiseAND(F.lit((1 << 32) - 1)))
-    # The first shared shingle of a pair has all that they share at and behind it.
-    left = F.least(size("a") - at("a"), size("b") - at("b"))
-    enough = left * (10 + TENTHS) >= (size("a") + size("b")) * TENTHS
-    met = side("a").join(side("b"), (F.col("ha") == F.col("hb")) & (F.col("ka") < F.col("kb")) & enough)
-    met = persist_table(met.select("ka", "kb").distinct(), "met")
-    of = lambda c: texts.select(F.col("key").alias(f"k{c}"), F.col("id").alias(f"id_{c}"), F.col("text").alias(f"text_{c}"))
+    pairs = persist_table(pairs, "pairs")
+    wanted = pairs.select(F.explode(F.array("ka", "kb")).alias("key")).distinct()
+    wanted = persist_table(nodes.join(wanted, "key").select(F.col("digest").alias("_digest"), "key", "group"), "wanted")
+    own = docs.select(text_digest(docs["text"]).alias("_digest"), docs["text"].alias("text"))
+    texts = own.join(broadcast_if_small(wanted), "_digest").dropDuplicates(["_digest"]).select("key", "group", "text")
+    texts = persist_table(texts, "texts")
+    of = lambda c: texts.select(F.col("key").alias(f"k{c}"), F.col("group").alias(f"g{c}"), F.col("text").alias(f"t{c}"))
+    met = pairs.join(of("a"), "ka").join(of("b"), "kb").filter("ga <> gb")
 
     def step():
         def work(batch: pa.RecordBatch):
-            near = []
-            for a, b in zip(batch["text_a"].to_pylist(), batch["text_b"].to_pylist()):
-                a, b = shingles(a), shingles(b)
-                near.append(10 * len(a & b) >= TENTHS * len(a | b))
-            yield pa.RecordBatch.from_arrays([batch[c].cast(pa.binary()).filter(pa.array(near, pa.bool_())) for c in ("id_a", "id_b")], names=PAIRS.names)
+            near = [similar(shingles(a), shingles(b)) for a, b in zip(batch["ta"].to_pylist(), batch["tb"].to_pylist())]
+            kept = pa.array(near, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch["ga"].filter(kept), batch["gb"].filter(kept)], names=LINKS.names)
 
         return work
 
-    found = map_texts(met.join(of("a"), "ka").join(of("b"), "kb").select("id_a", "id_b", "text_a", "text_b"), PAIRS, step)
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-
-
-def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """docs, whose texts are distinct, without all but the first (smallest doc_id, nulls last) of each group of near copies."""
-    docs = persist_table(docs, "distinct")
-    texts = docs.select(text_id(F.col("text")).alias("id"), "text")
-    stars = persist_table(connected_components(near_links(texts)), "copies")
-    members = stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())
-    ids = docs.select(text_id(F.col("text")).alias("node"), F.col("doc_id").cast("long").alias("doc_id"))
-    named = persist_table(members.join(ids, "node"), "named")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")
-    kept = named.groupBy("root").agg(F.min(place)["node"].alias("node"))
-    gone = named.join(kept, "node", "left_anti").select(F.col("node").alias("_gone"))
-    return docs.join(gone, text_id(docs.text) == F.col("_gone"), "left_anti")
+    links = map_texts(met.select("ga", "gb", "ta", "tb"), LINKS, step).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    found = persist_table(links.distinct(), "near-links")
+    for used in (pairs, wanted, texts):
+        drop_table(used)
+    return found
+
+
+def roots(links: DataFrame) -> DataFrame:
+    """group and root of every group that is linked to another."""
+    stars = persist_table(connected_components(links), "stars")
+    return stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("node", "group")
+
+
+def near_links(docs: DataFrame, marks: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links between groups of texts of docs: enough of them to join all groups that have near copies in each other.
+
+    marks: a written table of features; nodes: a written table (key, digest, n, group) of the distinct texts.
+    """
+    place = F.shiftleft("n", 32).bitwiseOR(F.col("at").cast("long"))
+    rows = marks.select("key", "n", F.posexplode("first").alias("at", "h")).select("h", "key", place.alias("place"))
+    buckets = rows.groupBy("h").agg(F.min("key").alias("pivot"), F.max("key").alias("_last")).filter("pivot <> _last").drop("_last")
+    members = persist_table(rows.join(buckets, "h"), "members")
+    group = nodes.select("key", "group", "n")
+    one = members.filter("key <> pivot").groupBy("key", "pivot").agg(F.count("*").alias("_c"))
+    one = one.groupBy("key").agg(F.max_by("pivot", F.struct("_c", F.bitwise_not("pivot"))).alias("pivot"))
+    side = lambda c: group.select(F.col("key").alias(f"k{c}"), F.col("group").alias(f"g{c}"), F.col("n").alias(f"n{c}"))
+    met = one.select(F.col("key").alias("ka"), F.col("pivot").alias("kb")).join(side("a"), "ka").join(side("b"), "kb")
+    near_sizes = 10 * F.least("na", "nb") >= TENTHS * F.greatest("na", "nb")
+    first = verified(docs, nodes, met.filter((F.col("ga") != F.col("gb")) & near_sizes).select("ka", "kb").distinct())
+    known = nodes.join(roots(first), "group", "left").select("key", F.coalesce("root", "group").alias("root"))
+    placed = members.drop("pivot").join(persist_table(known.distinct(), "roots"), "key")
+    open_ = placed.groupBy("h").agg(F.min("root").alias("least"), F.max("root").alias("_last")).filter("least <> _last").drop("_last")
+    left = persist_table(placed.join(open_, "h").distinct(), "open")
+    side = lambda c: left.select("h", *[F.col(x).alias(f"{x}_{c}") for x in ("key", "place", "root", "least")])
+    size, at = (lambda c: F.shiftright(f"place_{c}", 32)), (lambda c: F.col(f"place_{c}").bitwiseAND(F.lit((1 << 32) - 1)))
+    # The first shared shingle of a pair has all that they share at and behind it.
+    enough = F.least(size("a") - at("a"), size("b") - at("b")) * (10 + TENTHS) >= (size("a") + size("b")) * TENTHS
+    apart = (F.col("root_a") != F.col("root_b")) & ((F.col("root_b") == F.col("least_b")) | (F.col("key_a") < F.col("key_b")))
+    met = side("a").filter("root_a <> least_a").join(side("b"), "h").filter(apart & enough)
+    pairs = met.select(F.least("key_a", "key_b").alias("ka"), F.greatest("key_a", "key_b").alias("kb")).distinct()
+    found = first.unionByName(verified(docs, nodes, pairs))
+    for used in (members, left):
+        drop_table(used)
+    return found
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One document of each group of copies: SimHash components and near copies together.
+
+    Of a group the first document stays, by doc_id (nulls last) and then by the
+    digest of its text.
+    """
+    marks = persist_table(features(docs, frequent_shingles(docs)), "features")
+    classes = simhash.components(marks.select("doc_id", "print"))
+    group_of = classes.select("p", "group")
+    nodes = marks.select("key", "digest", "n", "print").distinct().join(group_of, F.col("print") == F.col("p")).select("key", "digest", "n", "group")
+    joined = roots(near_links(docs, marks, persist_table(nodes, "texts-of-groups")))
+    final = group_of.join(joined, "group", "left").select("p", F.coalesce("root", "group").alias("group"))
+    return simhash.keep_rows(docs, simhash.first_places(marks.select("doc_id", "digest", "print"), final))

@@ -1,13 +1,14 @@
 """The pipeline's near-dedup stage against plain similarities."""
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tessera.llm import copies, simhash
 from tests.conftest import SF_ORACLE
-from tests.llm.test_documents import plain_components, plain_simhash
+from tests.llm.test_documents import WORD, plain_components, plain_simhash
 
 
 def plain_similarity(a, b):
@@ -41,14 +42,65 @@ def test_stage_drops_planted_copies(spark):
     assert kept == {d for d, _ in rows if not 100 <= d < 200}
 
 
-def test_links_are_whole(spark):
-    """Every pair of near copies of the documents is found, and no other."""
-    rows = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("text").distinct().withColumn("id", copies.text_id(F.col("text"))).select("id", "text")
-    sets = {bytes(r.id): copies.shingles(r.text) for r in rows.collect()}
-    ids = sorted(sets)
-    want = {(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if sets[a] and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])}
-    links = [(bytes(r.a), bytes(r.b)) for r in copies.near_links(rows).collect()]
-    assert want and set(links) == want and len(links) == len(want)
+def plain_groups(texts):
+    """The least place of each text's component: fingerprints within two bits, or a similarity of 0.8 or more."""
+    parent = plain_components([plain_simhash(t) for t in texts])
+    words = [WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for t in texts]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()} for w in words]
+    near = lambda x, y: x and y and 10 * min(len(x), len(y)) >= 8 * max(len(x), len(y)) and 10 * len(x & y) >= 8 * len(x | y)
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if near(sets[i], sets[j])]
+
+    def find(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    for i, j in links:
+        i, j = find(i), find(j)
+        parent[max(i, j)] = min(i, j)
+    return [find(i) for i in range(len(texts))], links
+
+
+def kept_places(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    return {r.doc_id for r in copies.one_of_each(docs).collect()}
+
+
+def test_groups_are_whole(spark):
+    """One document stays of each group of the plain version, on the documents table."""
+    rows = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("doc_id", "text").sort("doc_id").collect()
+    groups, links = plain_groups([r.text for r in rows])
+    assert links and {rows[i].doc_id for i in set(groups)} == {r.doc_id for r in copies.one_of_each(spark.createDataFrame(rows)).collect()}
+
+
+def test_large_groups_and_chains(spark):
+    """A group of near copies that aren't all near each other, a chain, a common passage, and short texts."""
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    base, passage = [word() for _ in range(160)], " ".join(word() for _ in range(60))
+    texts = []
+    for i in range(70):
+        w = list(base)
+        for place in rnd.sample(range(160), 1 + i % 2):
+            w[place] = word()
+        texts.append(" ".join(w))
+    chain = [word() for _ in range(150)]
+    for i in range(12):
+        chain = list(chain)
+        chain[(i * 17) % 150] = word()
+        chain[(i * 17 + 60) % 150] = word()
+        texts.append(" ".join(chain))
+    texts += [" ".join(word() for _ in range(40)) + " " + passage for _ in range(50)]
+    texts += ["a b", "a b", "c d e", "c d e f", "", None, "A  b", passage, passage + " x"]
+    groups, links = plain_groups(texts)
+    assert len(links) > 900 and len(set(groups)) < 70
+    assert kept_places(spark, texts) == set(groups)
+
+
+def test_copies_in_a_table_larger_than_a_broadcast(spark, monkeypatch):
+    rows, _ = planted()
+    monkeypatch.setattr(copies, "BROADCAST_ROWS", 0)
+    assert kept_places(spark, [t for _, t in rows]) == set(plain_groups([t for _, t in rows])[0])
 
 
 def one_each(spark, rows):
@@ -64,11 +116,17 @@ def test_null_and_repeated_ids_keep_their_texts(spark):
 
 
 def test_stage_on_odd_documents(spark, odd_docs):
-    """Each component of the plain version keeps exactly one document, none of another."""
+    """Each component of the plain version keeps exactly one document, and no column changes."""
     texts = [r.text for r in odd_docs.collect()]
     prints = [plain_simhash(t) for t in texts]
     of = dict(zip(texts, plain_components(prints)))
     kept = [of[r.text] for r in simhash.one_of_each(odd_docs).collect()]
     assert sorted(kept) == sorted(set(of.values()))
-    stage = [of[r.text] for r in corpus_pipeline.drop_near_duplicates(spark, odd_docs, SF_ORACLE).collect()]
-    assert len(stage) == len(set(stage)) and set(stage) <= set(kept)
+    groups, _ = plain_groups(texts)
+    of = dict(zip(texts, groups))
+    stage = corpus_pipeline.drop_near_duplicates(spark, odd_docs, SF_ORACLE)
+    assert sorted(of[r.text] for r in stage.collect()) == sorted(set(of.values())) and stage.schema == odd_docs.schema
+
+
+def test_stage_on_an_empty_table(spark, odd_docs):
+    assert corpus_pipeline.drop_near_duplicates(spark, odd_docs.limit(0), SF_ORACLE).count() == 0
