@@ -4,8 +4,8 @@ Each stage takes (spark, docs, sf_dir) and works on all that the one before it
 kept. The first three give documents in the columns of the documents table:
 quality rules remove failing lines and failing documents, the classifier
 removes documents unlikely to have the best grade, near-dedup keeps the
-smallest doc_id of each group of copies: first of fingerprints within two bits,
-then of texts whose five-word shingles have a similarity of 0.8 or more. The
+smallest doc_id of each group of copies, which are linked by fingerprints
+within two bits or by five-word shingles with a similarity of 0.8 or more. The
 last packs what is left.
 """
 
@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import copies, ordinal, packing, quality_rules, queries, simhash
+from tessera.llm import copies, ordinal, packing, quality_rules, queries
 from tessera.llm.common import persist_table, table
 
 
@@ -28,7 +28,8 @@ def apply_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return copies.drop_near_copies(simhash.one_of_each(docs))
+    """SimHash's components and exact near copies in one pass over the texts."""
+    return copies.one_of_each(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
