@@ -8,8 +8,9 @@ its base rules fail or if the lines kept hold too small a share of its word
 characters. One row in, one row out, nothing shuffled.
 
 A null text has no words. Blank lines are neither judged nor kept. Texts of any
-length, repeated rows and empty tables need no special care; columns of the
-input that have the name of a result are replaced by the result.
+length, repeated rows and empty tables need no special care. judge_documents
+replaces columns that have the name of a result; clean_documents keeps every
+column of its input as it is but for the cleaned text and its length.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import fresh_name
+
 WHITE, WHITE_CLASS = " \t\n\x0b\f\r", r"[\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
 #: A document's shares: lines kept must hold so much of its word characters.
@@ -70,48 +73,78 @@ def repeated_words(words: Column) -> Column:
 
 def line_fault(line: Column) -> Column:
     """Why a line with words fails, or null."""
-    n = F.regexp_count(line, F.lit(r"[^ ]+"))
-    over = lambda pattern, percent: 100 * F.regexp_count(line, F.lit(pattern)) > percent * n
-    return (
-        F.when(over(SEPARATOR_WORD, SEPARATORS_PERCENT), "navigation")
-        .when(over(SYMBOLS + "+", SYMBOLS_PERCENT), "symbols")
-        .when(over(SHOUT_WORD, SHOUTS_PERCENT), "shouting")
-        .when(line.rlike(BOILERPLATE), "boilerplate")
-        .when((n < PROSE_WORDS) & ~line.rlike(FINAL), "punctuation")
-    )
+
+    def of(n: Column) -> Column:
+        over = lambda pattern, percent: 100 * F.regexp_count(line, F.lit(pattern)) > percent * n
+        return (
+            F.when(over(SEPARATOR_WORD, SEPARATORS_PERCENT), "navigation")
+            .when(line.rlike(SYMBOLS) & over(SYMBOLS + "+", SYMBOLS_PERCENT), "symbols")
+            .when(over(SHOUT_WORD, SHOUTS_PERCENT), "shouting")
+            .when(line.rlike(BOILERPLATE), "boilerplate")
+            .when((n < PROSE_WORDS) & ~line.rlike(FINAL), "punctuation")
+        )
+
+    return let(F.regexp_count(line, F.lit(r"[^ ]+")), of)
 
 
 def word_chars(text: Column) -> Column:
     return F.char_length(F.regexp_replace(text, WHITE_CLASS + "+", "")).cast("long")
 
 
-def judge_documents(docs: DataFrame) -> DataFrame:
-    """Adds the counts, base_failed, clean_text, line_faults (array, a fault for each removed line), kept_chars and kept."""
-    text = F.coalesce(F.col("text"), F.lit(""))
+def verdict(text: Column) -> Column:
+    """struct of the counts, base_failed, clean_text, line_faults, kept_chars and kept for a text; a null text is empty."""
     bare = lambda line: F.trim(line, F.lit(WHITE))
+
+    def judged(words: Column, lines: Column, repeats: Column, whole: Column) -> Column:
+        clean = F.array_join(F.transform(F.filter(lines, lambda x: x["fault"].isNull()), lambda x: x["line"]), "\n")
+        n_words = F.size(words).cast("long")
+        failed = (n_words < LEAST_WORDS) | (100 * repeats > MOST_REPEATED_PERCENT * n_words)
+
+        def of(clean_text: Column) -> Column:
+            kept_chars = word_chars(clean_text)
+            return let(kept_chars, lambda k: F.struct(
+                n_words.alias("n_words"), whole.alias("word_chars"), F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
+                (F.size(lines) - F.size(F.array_distinct(F.transform(lines, lambda x: x["line"])))).cast("long").alias("n_dup_lines"),
+                repeats.alias("n_repeat_words"), clean_text.alias("clean_text"),
+                F.array_compact(F.transform(lines, lambda x: x["fault"])).alias("line_faults"),
+                failed.alias("base_failed"), k.alias("kept_chars"), (~failed & (k >= LEAST_KEPT * whole)).alias("kept"),
+            ))
+
+        return let(clean, of)
+
     lines = F.filter(F.split(text, "\n"), lambda line: bare(line) != "")
-    step = docs.withColumns({
-        "n_words": F.size(words_of(text)).cast("long"),
-        "word_chars": word_chars(text),
-        "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("long"),
-        "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-        "n_repeat_words": repeated_words(words_of(text)),
-        "_lines": F.transform(lines, lambda line: F.struct(line.alias("line"), line_fault(bare(line)).alias("fault"))),
-    })
-    step = step.withColumns({
-        "clean_text": F.array_join(F.transform(F.filter("_lines", lambda x: x["fault"].isNull()), lambda x: x["line"]), "\n"),
-        "line_faults": F.array_compact(F.transform("_lines", lambda x: x["fault"])),
-        "base_failed": (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")),
-    }).drop("_lines")
-    step = step.withColumn("kept_chars", word_chars(F.col("clean_text")))
-    return step.withColumn("kept", ~F.col("base_failed") & (F.col("kept_chars") >= LEAST_KEPT * F.col("word_chars")))
+    lines = F.transform(lines, lambda line: F.struct(line.alias("line"), line_fault(bare(line)).alias("fault")))
+    return let(words_of(text), lambda w: let(lines, lambda x: let(repeated_words(w), lambda r: let(word_chars(text), lambda n: judged(w, x, r, n)))))
+
+
+def judged_rows(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs and a struct column of their verdicts, and its name, which docs doesn't have.
+
+    The verdict goes through a generator of one row, so that neither a filter
+    on it nor several of its fields work it out again.
+    """
+    name = fresh_name(docs, "_verdict")
+    found = F.array(verdict(F.coalesce(docs["text"], F.lit(""))))
+    return docs.select("*", F.explode(found).alias(name)), name
+
+
+def judge_documents(docs: DataFrame) -> DataFrame:
+    """Adds the counts, base_failed, clean_text, line_faults (array, a fault for each removed line), kept_chars and kept.
+
+    Columns of docs that have one of these names are replaced.
+    """
+    judged, name = judged_rows(docs)
+    fields = judged.schema[name].dataType.names
+    own = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in fields]
+    return judged.select(*own, f"{name}.*")
 
 
 def clean_documents(docs: DataFrame) -> DataFrame:
-    """The documents that pass, without their failing lines, in the columns of docs."""
-    judged = judge_documents(docs.select("*")).filter("kept")
-    own = {"text": F.col("clean_text"), "n_chars": F.char_length("clean_text").cast("long")}
-    return judged.select(*[own[c].alias(c) if c in own else F.col(c) for c in docs.columns])
+    """The documents that pass, without their failing lines, in the columns of docs: only text and n_chars change."""
+    judged, name = judged_rows(docs)
+    clean = F.col(f"{name}.clean_text")
+    own = {"text": clean, "n_chars": F.char_length(clean).cast(docs.schema["n_chars"].dataType if "n_chars" in docs.columns else "long")}
+    return judged.filter(f"{name}.kept").select(*[own[c].alias(c) if c in own else F.col(f"`{c}`") for c in docs.columns])
 
 
 ORACLE = rf"""
