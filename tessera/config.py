@@ -45,7 +45,7 @@ class Acquisition:
 @dataclass
 class Audio:
     target_sr: int = bounded(24000, 1)
-    norm: str = bounded("peak", choices=("peak", "rms", "lufs"))
+    norm: str = bounded("peak", choices=("peak", "rms"))  # loudness in LUFS isn't measured here
     peak_dbfs: float = bounded(-1.0, high=0)
     rms_dbfs: float = bounded(-20.0, high=0)
     trim: bool = bounded(False)

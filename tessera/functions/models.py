@@ -8,6 +8,7 @@ batches, and an exception on one row becomes that row's error, not the job's.
 from __future__ import annotations
 
 import hashlib
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,11 +16,24 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 
+_MADE: dict[Callable, Callable] = {}
+
+
+def loaded(make: Callable[[], Callable]) -> Callable:
+    """make()'s model: made once for each worker process, if make is a function that a module has by name."""
+    name = getattr(make, "__qualname__", "")
+    if not name or getattr(sys.modules.get(make.__module__), name, None) is not make:
+        return make()
+    if make not in _MADE:
+        _MADE[make] = make()
+    return _MADE[make]
+
+
 def plug(make: Callable[[], Callable], kind: str):
     """A column function with result struct<value: kind, error: string>; make() loads the model."""
 
     def rows(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = make()
+        model = loaded(make)
         for batch in batches:
             values, errors = [], []
             for item in batch:
@@ -75,16 +89,67 @@ def stub_transcriber() -> Callable[[str], str]:
     return lambda text: text.rstrip(".!?")
 
 
-def stub_language(labels: dict[str, set[str]]) -> Callable[[str], str]:
-    """The label with the most stop words in the text."""
+#: What a language model answers: a label and how sure it is of it.
+SAID = "struct<label: string, confidence: double>"
+#: Frequent words of some languages, for the stand-in.
+STOP_WORDS = {"de": {"der", "die", "und", "in", "ein"}, "en": {"the", "of", "and", "to", "is"}, "es": {"el", "que", "y", "los", "un"}, "fr": {"le", "et", "les", "des", "une"}}
 
-    def vote(text: str) -> str:
-        words = text.lower().split()
-        return max(sorted(labels), key=lambda lab: sum(w in labels[lab] for w in words))
+
+def stub_language(labels: dict[str, set[str]] | None = None) -> Callable[[str], dict]:
+    """The label with the most stop words in the text (ties go to the first by name), and its share of all labels' hits."""
+    labels = labels or STOP_WORDS
+
+    def vote(text: str) -> dict:
+        words = text.split(" ")
+        hits = {lab: sum(w in labels[lab] for w in words) for lab in sorted(labels)}
+        best = max(hits, key=hits.get)
+        return {"label": best, "confidence": hits[best] / max(1, sum(hits.values()))}
 
     return vote
 
 
+def stub_speaker() -> Callable[[pd.Series], list[float]]:
+    """A voice's vector: its spectrum in 32 bands, at unit length."""
+
+    def encode(samples) -> list[float]:
+        power = np.abs(np.fft.rfft(np.asarray(samples, dtype=float)))
+        bands = np.array([b.sum() for b in np.array_split(power, 32)])
+        return (bands / max(float(np.linalg.norm(bands)), 1e-9)).tolist()
+
+    return encode
+
+
+def looping_share(rate: int, least_lag: float, least_same: float) -> Callable[[list[float]], float]:
+    """A signal's largest share, over all lags of at least least_lag seconds, of voiced frame pairs a lag apart with cepstra of a cosine over least_same.
+
+    Frames are 25 ms long and 10 ms apart; a cepstrum is the cosine transform of
+    the log energies of 26 bands, without its level. Lags go up to half the frames.
+    """
+
+    def share(samples) -> float:
+        x = np.asarray(samples, dtype=float)
+        size, hop = int(rate * 0.025), int(rate * 0.010)
+        if len(x) < size:
+            return 0.0
+        frames = np.lib.stride_tricks.sliding_window_view(x, size)[::hop]
+        level = np.sqrt((frames**2).mean(axis=1))
+        power = np.abs(np.fft.rfft(frames * np.hanning(size), axis=1)) ** 2
+        edges = np.unique(np.geomspace(1, power.shape[1] - 1, 27).astype(int))
+        bands = np.log(np.add.reduceat(power, edges, axis=1) + 1e-10)
+        n = bands.shape[1]
+        turns = np.cos(np.pi / n * (np.arange(n) + 0.5)[:, None] * np.arange(1, 13)[None, :])
+        cepstra = bands @ turns
+        cepstra /= np.maximum(np.linalg.norm(cepstra, axis=1, keepdims=True), 1e-9)
+        voiced, best = level > 0.1 * max(level.max(), 1e-9), 0.0
+        for lag in range(max(1, int(least_lag / 0.010)), len(frames) // 2):
+            both = voiced[lag:] & voiced[:-lag]
+            if both.sum() >= 10:
+                best = max(best, float(((cepstra[lag:] * cepstra[:-lag]).sum(axis=1)[both] > least_same).mean()))
+        return best
+
+    return share
+
+
 def resample(y: np.ndarray, source: int, target: int) -> np.ndarray:
     """Band-limited enough for checks: box mean before a coarser grid, linear in between."""
     if source == target or not len(y):

@@ -71,15 +71,24 @@ def degeneracy(text: Column, least: int = 5, most: int = 20, least_distinct: flo
     return let(words(text), reason)
 
 
-def sentence_fault(text: Column, script: str, least_script: float = 0.90, numbers: bool = True) -> Column:
-    """The first gate that a sentence fails, cheap gates first; null if it passes them all."""
+def sentence_fault(
+    text: Column, script: str, least_script: float = 0.90, numbers: bool = True, least: int = 5, most: int = 20, least_distinct: float = 0.55, language: Column | None = None
+) -> Column:
+    """The first gate that a sentence fails, cheap gates first; null if it passes them all. language: a fault of language_fault's, the last gate."""
     number = has_number(text) if numbers else F.lit(False)
-    return F.coalesce(
+    gates = [
         F.when(text.isNull() | (F.length(text) < 2), "empty"),
-        degeneracy(text),
+        degeneracy(text, least, most, least_distinct),
         F.when(number, "unnormalized_number"),
         F.when(script_ratio(text, script) < least_script, "wrong_script"),
-    )
+    ]
+    return F.coalesce(*gates, *([] if language is None else [language]))
+
+
+def language_fault(said: Column, expected: Column, least_confidence: float) -> Column:
+    """langid_mismatch with the label heard, if it isn't the expected one or not sure enough; said: struct<label, confidence>, null passes."""
+    wrong = (said["label"] != expected) | (said["confidence"] < least_confidence)
+    return F.when(wrong, F.concat(F.lit("langid_mismatch:"), said["label"]))
 
 
 def dedup_key(text: Column, compose: bool = True) -> Column:

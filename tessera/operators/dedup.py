@@ -19,13 +19,13 @@ def first_of_each(rows: DataFrame, keys: list[str], order: list[str]) -> DataFra
     return rows.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(first.alias("_row")).select("_row.*")
 
 
-def near_pairs(vectors: DataFrame, threshold: float, block: str, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """Pairs of unit vectors of one block with a cosine of at least threshold.
+def near_pairs(vectors: DataFrame, threshold: float, block: str, id_col: str = "vec_id", vector: str = "embedding", slices: int = 8) -> DataFrame:
+    """Pairs of unit vectors of one block with a cosine of at least threshold, exactly.
 
     Rows of a block are dealt into a square of slices, so that a large block is
-    compared by many tasks, each of two slices.
+    compared by many tasks, each of two slices; slices should grow with the
+    largest block, so that two of its slices fit in a task.
     """
-    slices = 8
     tag = F.pmod(F.xxhash64(id_col), F.lit(slices)).cast("int")
     own = vectors.select(F.col(id_col), F.col(vector).alias("_v"), F.col(block).alias("_b"), tag.alias("_s"))
     all_slices = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
@@ -51,39 +51,67 @@ def grid(*sides: DataFrame) -> DataFrame:
 ACCEPT_SCHEMA = "seq long, language string, cell string, outcome string"
 
 
-def accept_in_order(candidates: DataFrame, quota: int, threshold: float) -> DataFrame:
+class Pool:
+    """What a language has accepted: keys, counts by cell, and vectors in one growing array."""
+
+    def __init__(self):
+        self.keys, self.filled, self.n, self.vectors = set(), {}, 0, np.zeros((0, 0), dtype=np.float32)
+
+    def near(self, v: np.ndarray, threshold: float) -> bool:
+        return self.n > 0 and float((self.vectors[: self.n] @ v).max()) >= threshold
+
+    def add(self, key: str, cell: str, v: np.ndarray | None) -> None:
+        self.keys.add(key)
+        self.filled[cell] = self.filled.get(cell, 0) + 1
+        if v is not None:
+            if self.n == len(self.vectors):
+                grown = np.zeros((max(64, 2 * self.n), len(v)), dtype=np.float32)
+                grown[: self.n] = self.vectors[: self.n] if self.n else 0
+                self.vectors = grown
+            self.vectors[self.n] = v
+            self.n += 1
+
+
+def accept_in_order(candidates: DataFrame, quota: int, threshold: float, earlier: DataFrame | None = None) -> DataFrame:
     """Fold candidates (seq, language, cell, key, fault, vector) in order of seq within each language.
 
     A candidate whose cell is full is not looked at and gets no outcome. Others
     get their fault, exact_duplicate, near_duplicate or accepted; accepted ones
-    count in their cell and stand in the way of later ones. The order decides,
-    so a language is one group: its rows stream through one task, in order, and
-    the state holds accepted candidates only, cells times quota of them.
+    count in their cell and stand in the way of later ones. earlier: what an
+    earlier run accepted (language, cell, key, vector); it counts as if it had
+    come first and gets no outcome. The order decides, so a language is one
+    group: its rows stream through one task, in order, and the state holds
+    accepted candidates only, cells times quota of them.
     """
-    laid = candidates.repartition("language").sortWithinPartitions("language", "seq")
+    columns = ["seq", "language", "cell", "key", "fault", "vector"]
+    rows = candidates.select(*columns, F.lit(False).alias("held"))
+    if earlier is not None:
+        rows = rows.unionByName(earlier.select(F.lit(-1).cast("long").alias("seq"), "language", "cell", "key", F.lit(None).cast("string").alias("fault"), "vector", F.lit(True).alias("held")))
+    laid = rows.repartition("language").sortWithinPartitions("language", F.col("held").desc(), "seq")
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        language, keys, filled, vectors = None, set(), {}, []
+        language, pool = None, Pool()
         for batch in batches:
             out = []
-            for r in batch.itertuples(index=False):
-                if r.language != language:
-                    language, keys, filled, vectors = r.language, set(), {}, []
-                if filled.get(r.cell, 0) >= quota:
+            columns = (batch[c].tolist() for c in ("seq", "language", "cell", "key", "fault", "vector", "held"))
+            for seq, own, cell, key, fault, vector, held in zip(*columns):
+                if own != language:
+                    language, pool = own, Pool()
+                v = None if vector is None else np.asarray(vector, dtype=np.float32)
+                if held:
+                    pool.add(key, cell, v)
+                    continue
+                if pool.filled.get(cell, 0) >= quota:
                     continue
-                v = None if r.vector is None else np.asarray(r.vector, dtype=np.float32)
-                outcome = r.fault or ("exact_duplicate" if r.key in keys else None)
-                if outcome is None and v is not None and vectors and float((np.stack(vectors) @ v).max()) >= threshold:
+                outcome = fault or ("exact_duplicate" if key in pool.keys else None)
+                if outcome is None and v is not None and pool.near(v, threshold):
                     outcome = "near_duplicate"
                 if outcome is None:
-                    keys.add(r.key)
-                    filled[r.cell] = filled.get(r.cell, 0) + 1
-                    if v is not None:
-                        vectors.append(v)
-                out.append((r.seq, language, r.cell, outcome or "accepted"))
+                    pool.add(key, cell, v)
+                out.append((int(seq), language, cell, outcome or "accepted"))
             yield pd.DataFrame(out, columns=["seq", "language", "cell", "outcome"])
 
-    return laid.select("seq", "language", "cell", "key", "fault", "vector").mapInPandas(fold, ACCEPT_SCHEMA)
+    return laid.mapInPandas(fold, ACCEPT_SCHEMA)
 
 
 def outcome_counts(outcomes: DataFrame, by: str = "outcome") -> DataFrame:

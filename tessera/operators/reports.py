@@ -106,6 +106,21 @@ def value_counts(rows: DataFrame, fields: list[str]) -> DataFrame:
     return rows.select(F.inline(pairs)).groupBy("field", "value").agg(F.count("*").alias("n"))
 
 
+def status_counts(rows: DataFrame, status: str = "status") -> DataFrame:
+    """A table of counts by status."""
+    return rows.groupBy(F.col(status).alias("status")).agg(F.count("*").alias("n"))
+
+
+def one_document(table: DataFrame) -> DataFrame:
+    """A small result table as one row: a table of counts as its map, a one-row table as it is."""
+    return as_map(table, "status") if table.columns == ["status", "n"] else table
+
+
+def keys_found(rows: DataFrame, document: str) -> DataFrame:
+    """Every key of a column of JSON objects, with the rows that have it."""
+    return rows.select(F.explode(F.json_object_keys(document)).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
+
+
 def as_map(counts: DataFrame, key: str, n: str = "n") -> DataFrame:
     """A small table of counts as one map."""
     return counts.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(key), F.col(n))))).alias("counts"))

@@ -50,9 +50,9 @@ def clip_sample(clips: DataFrame, per_speaker: int, seed: int) -> DataFrame:
     return clips.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= per_speaker).drop("_r")
 
 
-def select_clips(clips: DataFrame, per_language: int, per_speaker: int, seed: int, balance: bool = True) -> DataFrame:
+def select_clips(clips: DataFrame, per_language: int, per_speaker: int, seed: int, balance: bool = True, least: float = 3.0, most: float = 15.0) -> DataFrame:
     """Eligible clips of the drawn speakers; the speakers' side is small by its quota, and AQE sees its size."""
-    good = eligible(clips)
+    good = eligible(clips, least, most)
     chosen = stratified_speakers(speaker_gender(good), per_language, seed, balance)
     return clip_sample(good.drop("gender").join(chosen, ["lang", "speaker_id"]), per_speaker, seed)
 

@@ -10,6 +10,8 @@ import time
 
 from tessera import config
 
+#: Samples a second of the stand-in voice.
+RATE = 16000
 ORDER = ["data_acquisition", "audio_engineering", "sentence_generation", "tts_generation", "quality_control"]
 
 
@@ -33,35 +35,62 @@ def with_retries(work, tries: int = 3, backoff: float = 2.0):
 
 
 def run(raw: dict, stages: list[str], log: logging.Logger) -> dict:
-    """Stages in their fixed order over the folder that the settings name; later stages read what earlier ones wrote."""
+    """Stages in their fixed order over the folder that the settings name; later stages read what earlier ones wrote.
+
+    Each stage leaves its summary as <stage>_summary.json, the run pipeline_summary.json and report.md.
+    """
     from pyspark.sql import functions as F
 
     from tessera.functions import models
     from tessera.operators import reports
     from tessera.plans import stages as S
+    from tessera.sources import manifests
     from tessera.session import session
 
     spark, out, seed, took = session(), raw["out_dir"].rstrip("/"), raw.get("seed", 1234), {}
     of = lambda name: config.stage(raw, name)
+    table = lambda name: spark.read.parquet(f"{out}/{name}")
+    models_of = lambda make, kind: models.plug(make, kind)
+    report: list[str] = []
     for name in [s for s in ORDER if s in stages]:
         began = time.time()
         if name == "data_acquisition":
-            S.acquire(spark, of(name), seed, out).write.mode("overwrite").parquet(f"{out}/reference")
+            s = of(name)
+            pulled = with_retries(lambda s=s: S.acquire(spark, s, seed, out), s.max_retries, s.retry_backoff)
+            S.with_files(pulled, out).write.mode("overwrite").parquet(f"{out}/reference")
+            found = reports.status_counts(table("reference"))
         elif name == "audio_engineering":
-            S.prepare(spark.read.parquet(f"{out}/reference"), of(name)).write.mode("overwrite").parquet(f"{out}/prepared")
+            S.prepare(table("reference"), of(name)).write.mode("overwrite").parquet(f"{out}/prepared")
+            found = reports.status_counts(table("prepared"))
         elif name == "sentence_generation":
-            pool, outcomes = S.sentence_pool(S.propose(spark, of(name), models.plug(models.stub_generator, "string")), of(name))
+            asked = S.propose(spark, of(name), models_of(models.stub_generator, "string"))
+            pool, outcomes = S.sentence_pool(asked, of(name), models_of(models.stub_embedder, "array<float>"))
             pool.write.mode("overwrite").parquet(f"{out}/sentences")
             outcomes.write.mode("overwrite").parquet(f"{out}/outcomes")
+            found = reports.status_counts(table("outcomes"), "outcome")
+            report += ["## Sentences", reports.markdown(reports.reason_table(table("outcomes").filter("outcome <> 'accepted'").select(F.col("outcome").alias("reason"))))]
         elif name == "tts_generation":
-            voice = models.plug(models.stub_synthesizer, "array<float>")
-            S.speak(spark, spark.read.parquet(f"{out}/sentences"), spark.read.parquet(f"{out}/prepared"), of(name), voice).write.mode("overwrite").parquet(f"{out}/utterances")
+            voice = models_of(models.stub_synthesizer, "array<float>")
+            S.speak(spark, table("sentences"), table("prepared"), of(name), voice).write.mode("overwrite").parquet(f"{out}/utterances")
+            S.utterance_files(table("utterances"), RATE, out).write.mode("overwrite").parquet(f"{out}/utterance_files")
+            found = reports.status_counts(table("utterances"))
         else:
-            heard = models.plug(models.stub_transcriber, "string")
-            rows = S.certify_new(spark, spark.read.parquet(f"{out}/utterances"), f"{out}/dataset", of(name), 16000, heard)
-            log.info("%s", reports.markdown(reports.datacard(rows.withColumn("language", F.coalesce("language", F.lit("?"))))))
+            heard = models_of(models.stub_transcriber, "string")
+            voices = S.reference_samples(table("prepared"))
+            rows = S.certify_new(spark, table("utterances"), f"{out}/dataset", of(name), RATE, heard, voices, models_of(models.stub_speaker, "array<double>"))
+            rows = rows.withColumn("language", F.coalesce("language", F.lit("?")))
+            found = reports.datacard(rows)
+            words = rows.filter("qc_passed").withColumns({"chars": F.length("text"), "words": F.size(F.split("text", " "))})
+            parts = [("Datacard", found), ("Languages", reports.per_language(rows, "utt_id")), ("Distributions", reports.summaries(words, ["duration", "chars", "words", "cer", "speaker_sim"]))]
+            parts += [("Rejections", reports.rejections(rows)), ("Checks", reports.check_metrics(rows)), ("Speakers", reports.per_speaker(rows)), ("Gender", reports.gender_balance(rows, "utt_id"))]
+            report += [line for title, rows in parts for line in (f"## {title}", reports.markdown(rows))]
+            log.info("%s", reports.markdown(found))
         took[name] = round(time.time() - began, 2)
-        log.info("%s: %.1f s", name, took[name])
+        done = manifests.summary(reports.one_document(found)) | {"elapsed_s": took[name]}
+        manifests.write_document(spark, f"{out}/{name}_summary.json", json.dumps(done))
+        log.info("%s: %.1f s, %s", name, took[name], done)
+    manifests.write_document(spark, f"{out}/pipeline_summary.json", json.dumps(took))
+    manifests.write_document(spark, f"{out}/report.md", "\n\n".join(["# Report", *report]) + "\n")
     return took
 
 

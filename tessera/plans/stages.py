@@ -6,27 +6,39 @@ stage is the same plan whatever speaks, listens or writes sentences.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera import config, schema
-from tessera.functions import signal, text
+from tessera.functions import models, signal, text
 from tessera.operators import dedup, pairing, resume, sampling, verdict
 from tessera.sources import audio, catalog, manifests
 
+log = logging.getLogger("tessera")
 Plug = Callable[[str], Column]
 
 
 def acquire(spark: SparkSession, s: config.Acquisition, seed: int, out: str) -> DataFrame:
     """Catalogue, seeded selection and the clips' bytes; what is already there isn't pulled again."""
     bank = catalog.cached(spark, f"{out}/catalog", lambda: catalog.scan(spark, s.source, s.local_dir, s.languages, s.split), s.force_catalog)
-    bank = bank.filter(F.col("duration").between(s.ref_min_dur, s.ref_max_dur))
-    selection = sampling.selection_manifest(sampling.select_clips(bank, s.speakers_per_language, s.clips_per_speaker, seed, s.gender_balance), s.repo_id or s.local_dir, s.split)
+    chosen = sampling.select_clips(bank, s.speakers_per_language, s.clips_per_speaker, seed, s.gender_balance, s.ref_min_dur, s.ref_max_dur)
+    selection = sampling.selection_manifest(chosen, s.repo_id or s.local_dir, s.split)
+    speakers = selection.select("lang", "speaker_id").distinct().count()
+    if speakers < s.min_total_speakers:
+        log.warning("%d speakers selected, fewer than the %d asked for", speakers, s.min_total_speakers)
     return catalog.pull_audio(spark, selection)
 
 
+def with_files(clips: DataFrame, folder: str) -> DataFrame:
+    """Pulled clips with their bytes also as files ref_audio/<ref_id><ext> under folder, named by local_audio_path."""
+    named = clips.drop("local_audio_path").withColumns({"_file": F.concat("ref_id", "ext"), "_bytes": F.when(F.col("status") == "downloaded", F.col("content"))})
+    return audio.write_blobs(named, f"{folder}/ref_audio", "_file", "_bytes", "local_audio_path").drop("_file")
+
+
 def prepare(clips: DataFrame, s: config.Audio) -> DataFrame:
     """Decode, mix down, take off the offset, trim, cut, set the level, and say what was done."""
     d = clips.filter("status = 'downloaded'").withColumn("d", audio.decoded("content"))
@@ -65,19 +77,47 @@ def propose(spark: SparkSession, s: config.Sentences, generate: Plug) -> DataFra
     return lines.withColumn("seq", F.row_number().over(Window.partitionBy("language").orderBy(rank)).cast("long"))
 
 
-def sentence_pool(candidates: DataFrame, s: config.Sentences) -> tuple[DataFrame, DataFrame]:
-    """Accepted sentences, and every looked-at candidate's outcome."""
+def sentence_pool(candidates: DataFrame, s: config.Sentences, embed: Plug | None = None, listen: Plug | None = None, earlier: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Accepted sentences, and every looked-at candidate's outcome.
+
+    embed: unit vectors for the near-duplicate gate; listen: the language gate's
+    label and confidence; without a model its gate is left out. earlier: the
+    pool of an earlier run, which counts in its cells and stands in the way.
+    """
     scripts = sorted({v[1] for v in s.languages.values()})
-    fault = F.coalesce(*[F.when(F.col("script") == x, text.sentence_fault(F.col("text"), x, s.script_min_ratio, s.reject_unnormalized_numbers)) for x in scripts])
+    said, rows = None, candidates
+    if listen is not None:
+        rows = rows.withColumn("_said", listen("text"))
+        said = text.language_fault(F.col("_said.value"), F.col("language"), s.langid_min_conf)
+    gates = lambda x: text.sentence_fault(F.col("text"), x, s.script_min_ratio, s.reject_unnormalized_numbers, s.min_words, s.max_words, s.min_type_token_ratio, said)
     cell = F.concat_ws("|", "language", "topic", "sentence_type")
-    judged = candidates.withColumns({"fault": fault, "key": text.dedup_key(F.col("text")), "cell": cell, "vector": F.lit(None).cast("array<float>")})
-    outcomes = dedup.accept_in_order(judged, s.per_cell_quota, s.near_dup_threshold)
+    vector = lambda: F.lit(None).cast("array<float>") if embed is None else F.col("_v.value")
+    judged = rows.withColumns({"fault": F.coalesce(*[F.when(F.col("script") == x, gates(x)) for x in scripts]), "key": text.dedup_key(F.col("text")), "cell": cell})
+    judged = judged if embed is None else judged.withColumn("_v", embed(F.when(F.col("fault").isNull(), F.col("text"))))
+    if earlier is not None:
+        earlier = earlier.withColumns({"key": text.dedup_key(F.col("text")), "cell": cell})
+        earlier = (earlier if embed is None else earlier.withColumn("_v", embed("text"))).withColumn("vector", vector())
+    outcomes = dedup.accept_in_order(judged.withColumn("vector", vector()), s.per_cell_quota, s.near_dup_threshold, earlier)
     good = outcomes.filter("outcome = 'accepted'").select("seq", "language")
-    pool = candidates.join(good, ["seq", "language"]).withColumn("id", F.concat(F.col("language"), F.lit("_"), F.lpad(F.col("seq").cast("string"), 6, "0")))
+    pool = numbered(candidates.join(good, ["seq", "language"]), earlier)
     words = F.size(text.words(F.col("text")))
     return pool.select(*[F.col(c) for c in ("id", "language", "language_name", "topic", "sentence_type", "text")], words.alias("word_count"), F.length("text").alias("char_count"), "seed"), outcomes
 
 
+def numbered(pool: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """Adds id, the language and the sentence's number in the whole pool, in order of language and seq, on from an earlier pool's."""
+    from pyspark.sql.window import Window
+
+    own = F.row_number().over(Window.partitionBy("language").orderBy("seq"))
+    counts = pool.groupBy("language").agg(F.count("*").alias("_n"))  # a row for each language
+    before = F.sum("_n").over(Window.orderBy("language").rowsBetween(Window.unboundedPreceding, -1))
+    bases = counts.select("language", F.coalesce(before, F.lit(0)).alias("_base"))
+    start = 0 if earlier is None else earlier.count()
+    n = F.col("_base") + F.col("_own") + F.lit(start - 1)
+    placed = pool.withColumn("_own", own).join(F.broadcast(bases), "language")
+    return placed.withColumn("id", F.concat(F.col("language"), F.lit("_"), F.lpad(n.cast("string"), 6, "0"))).drop("_own", "_base")
+
+
 def speak(spark: SparkSession, sentences: DataFrame, prepared: DataFrame, s: config.Speech, synthesize: Plug) -> DataFrame:
     """Utterances with their samples: sentences paired with references, spoken chunk by chunk."""
     codes = spark.createDataFrame(list(s.lang_map.items()), "code string, name string")
@@ -91,8 +131,35 @@ def speak(spark: SparkSession, sentences: DataFrame, prepared: DataFrame, s: con
     return out.withColumn("status", F.when(F.col("error").isNull(), "synthesized").otherwise("failed"))
 
 
+def utterance_files(utterances: DataFrame, rate: int, folder: str) -> DataFrame:
+    """utt_id and audio_filepath: the utterances' samples written as WAV files under folder, by the path that the manifest gives them."""
+    rows = utterances.filter("status = 'synthesized'").select("utt_id", F.col("audio_filepath").alias("_file"), F.col("samples").alias("_x"), F.lit(rate).alias("_own"))
+    made = audio.with_wav(rows, "_x", "_own", rate, "_wav")
+    named = made.withColumn("_file", F.substring_index("_file", "/", -1))
+    return audio.write_blobs(named, f"{folder}/audio", "_file", "_wav", "audio_filepath").drop("_file")
+
+
+def reference_samples(prepared: DataFrame) -> DataFrame:
+    """ref_id and samples of every prepared clip, mono."""
+    d = prepared.filter("status = 'prepared'").select("ref_id", audio.decoded("prepared").alias("d"))
+    return d.select("ref_id", signal.to_mono(F.col("d.samples")).alias("samples"))
+
+
+def voice_similarity(utterances: DataFrame, references: DataFrame, encode: Plug) -> DataFrame:
+    """Adds speaker_sim, the cosine of an utterance's voice and its reference's; null without a reference.
+
+    references: (ref_id, samples), one row for each reference clip.
+    """
+    voices = references.select("ref_id", encode("samples").alias("_r")).select("ref_id", F.col("_r.value").alias("_ref"))
+    joined = utterances.join(voices, "ref_id", "left").withColumn("_own", encode("samples"))
+    both = F.col("_own.value").isNotNull() & F.col("_ref").isNotNull()
+    return joined.withColumn("speaker_sim", F.when(both, signal.cosine(F.col("_own.value"), F.col("_ref")))).drop("_own", "_ref")
+
+
 def certify(utterances: DataFrame, s: config.Quality, rate: int, transcribe: Plug | None = None, similarity: Column | None = None) -> DataFrame:
-    """Every check on every utterance; it passes if none fails."""
+    """Every check on every utterance; it passes if none fails. similarity: a column, by default speaker_sim if there is one."""
+    if similarity is None and "speaker_sim" in utterances.columns:
+        similarity = F.col("speaker_sim")
     u = utterances.filter("status = 'synthesized'").withColumn("x", F.transform("samples", lambda v: v.cast("double")))
     u = u.withColumn("levels", signal.frame_rms(F.col("x"), int(rate * 0.025), int(rate * 0.010)))
     u = u.withColumn("duration", F.size("x") / F.lit(rate))
@@ -105,6 +172,10 @@ def certify(utterances: DataFrame, s: config.Quality, rate: int, transcribe: Plu
         verdict.check("truncation", F.coalesce(tail <= s.trunc_tail_ratio, F.lit(True)), F.round(F.coalesce(tail, F.lit(0.0)), 3)),
         verdict.check("dur_per_char", F.coalesce(spc.between(s.dur_per_char_min, s.dur_per_char_max), F.lit(False)), F.round(spc, 4)),
     ]
+    if s.loop_band_frac <= 1:
+        loops = models.plug(partial(models.looping_share, rate, s.loop_min_lag_s, s.loop_pair_sim), "double")
+        u = u.withColumn("_l", loops("samples")).withColumn("_loop", F.col("_l.value")).drop("_l")
+        checks.append(verdict.check("looping_audio", F.col("_loop") < s.loop_band_frac, F.round("_loop", 3)))
     if transcribe is not None and s.run_asr:
         u = u.withColumn("_t", transcribe("text")).withColumn("asr_transcript", F.col("_t.value")).drop("_t")
         cer = text.character_error_rate(text.score_text(F.col("text")), text.score_text(F.col("asr_transcript")))
@@ -113,13 +184,21 @@ def certify(utterances: DataFrame, s: config.Quality, rate: int, transcribe: Plu
         checks.append(verdict.check("looping_text", F.col("_r") < s.text_repeat_ngram, F.col("_r")))
     if similarity is not None and s.run_speaker:
         checks.append(F.when(similarity.isNotNull(), verdict.check("speaker_cos", similarity >= s.spk_cos_min, similarity)))
-    return verdict.with_verdict(u, *checks).drop("x", "levels", "_r", "samples").withColumn("status", F.lit("validated"))
+    return verdict.with_verdict(u, *checks).drop("x", "levels", "_r", "_loop", "samples").withColumn("status", F.lit("validated"))
+
 
+def certify_new(
+    spark: SparkSession, utterances: DataFrame, path: str, s: config.Quality, rate: int, transcribe: Plug | None = None, references: DataFrame | None = None, encode: Plug | None = None
+) -> DataFrame:
+    """Certify what the dataset manifest at path doesn't hold yet, append it, and give the whole manifest.
 
-def certify_new(spark: SparkSession, utterances: DataFrame, path: str, s: config.Quality, rate: int, transcribe: Plug | None = None) -> DataFrame:
-    """Certify what the dataset manifest at path doesn't hold yet, append it, and give the whole manifest."""
+    references and encode, the voices and a model of them, are for the speaker check.
+    """
     kind = schema.DATASET
     done = resume.done_keys(manifests.read(spark, path, kind), "utt_id")
-    fresh = certify(resume.pending(utterances, done, "utt_id"), s, rate, transcribe)
+    fresh = resume.pending(utterances, done, "utt_id")
+    if s.run_speaker and references is not None and encode is not None:
+        fresh = voice_similarity(fresh, references, encode)
+    fresh = certify(fresh, s, rate, transcribe)
     manifests.append(fresh.select(*[F.col(f.name) if f.name in fresh.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in kind.fields]), path)
     return manifests.read(spark, path, kind)

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,6 +64,28 @@ def decoded(contents: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["samples", "rate", "channels", "error"])
 
 
+def write_blobs(rows: DataFrame, folder: str, name: str, content: str, out: str) -> DataFrame:
+    """Write each row's bytes to folder under its name, in place of column content; out is the file's path, null without bytes.
+
+    folder must be one that driver and executors share; a task that runs again writes the same files again.
+    """
+    kept = [f for f in rows.schema.fields if f.name != content]
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, root = pafs.FileSystem.from_uri(folder) if "://" in folder else (pafs.LocalFileSystem(), folder)
+        fs.create_dir(root, recursive=True)
+        for b in batches:
+            paths = []
+            for own, data in zip(b[name], b[content]):
+                if data is not None:
+                    with fs.open_output_stream(f"{root}/{own}") as target:
+                        target.write(bytes(data))
+                paths.append(None if data is None else f"{folder}/{own}")
+            yield b[[f.name for f in kept]].assign(**{out: paths})
+
+    return rows.mapInPandas(write, T.StructType([*kept, T.StructField(out, T.StringType())]))
+
+
 def with_wav(rows: DataFrame, samples: str, own: str, rate: int, out: str) -> DataFrame:
     """Replace samples at their own rate by WAV bytes at rate, in column out; null if a clip isn't fit to write."""
     kept = [f for f in rows.schema.fields if f.name not in (samples, own)]

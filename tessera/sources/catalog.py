@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.sampling import canonical_gender
 
+log = logging.getLogger("tessera")
+#: Records (a path and a number each) up to which their places are broadcast.
+PLACES = 500_000
 META = ["fname", "text", "duration", "gender", "speaker_id"]
 
 
@@ -17,7 +22,7 @@ def files_of(source: str, base: str, lang: str, split: str) -> str:
 
 
 def scan(spark: SparkSession, source: str, base: str, languages: list[str], split: str = "valid") -> DataFrame:
-    """Metadata of every clip, with its file and row; audio columns aren't read."""
+    """Metadata of every clip, with its file and row; audio columns aren't read. A language without files is warned of and left out."""
     parts = []
     for lang in languages:
         try:
@@ -25,6 +30,7 @@ def scan(spark: SparkSession, source: str, base: str, languages: list[str], spli
         except Exception as e:  # a language without files is left out
             if "PATH_NOT_FOUND" not in str(e):
                 raise
+            log.warning("no files for language %s under %s", lang, base)
             continue
         parts.append(rows.select(*META, F.lit(lang).alias("lang"), F.col("_metadata.row_index").alias("row_index"), F.col("_metadata.file_path").alias("source_file")))
     if not parts:
@@ -58,16 +64,21 @@ def sniff(content: Column, path: Column) -> Column:
 def pull_audio(spark: SparkSession, selection: DataFrame) -> DataFrame:
     """Selected records with the bytes of their clip, its format and a status.
 
-    Records are few next to the bank: they are joined to a scan of the audio
-    column alone by file and row, and only files that they name are listed.
+    Only files that the records name are listed, and only the audio column is
+    read. The places of the records, few next to the bank, are sent to the scan
+    if their count allows, so that no audio but theirs is moved; then they meet
+    their records. Beyond PLACES records the audio is joined by a shuffle.
     """
     files = [r.source_file for r in selection.select("source_file").distinct().collect()]  # one entry for each selected file
     if not files:
         return selection.withColumns({"content": F.lit(None).cast("binary"), "ext": F.lit(None).cast("string")}).limit(0)
-    audio = spark.read.parquet(*files).select(
-        F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.row_index").alias("row_index"), F.col("audio_filepath.bytes").alias("content"), F.col("audio_filepath.path").alias("_path")
-    )
-    joined = selection.drop("status").join(audio, ["source_file", "row_index"], "left")
+    banks = spark.read.parquet(*files)
+    cell = dict(banks.dtypes)["audio_filepath"]
+    content, path = (F.col("audio_filepath"), F.lit("")) if cell == "binary" else (F.col("audio_filepath.bytes"), F.col("audio_filepath.path"))
+    audio = banks.select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.row_index").alias("row_index"), content.alias("content"), path.alias("_path"))
+    places = selection.select("source_file", "row_index").distinct()
+    hits = audio.join(F.broadcast(places) if places.count() <= PLACES else places, ["source_file", "row_index"])
+    joined = selection.drop("status").join(hits, ["source_file", "row_index"], "left")
     good = F.octet_length("content") > 0
     return joined.withColumns({
         "ext": sniff(F.col("content"), F.col("_path")),
@@ -75,6 +86,11 @@ def pull_audio(spark: SparkSession, selection: DataFrame) -> DataFrame:
     }).drop("_path")
 
 
+def in_order(rows: DataFrame) -> DataFrame:
+    """Catalogue order: by language, file and row."""
+    return rows.orderBy("lang", "source_file", "row_index")
+
+
 def row_group_starts(groups: DataFrame) -> DataFrame:
     """First row of each row group (source_file, row_group, n_rows): a running sum within each file."""
     from pyspark.sql.window import Window

@@ -37,6 +37,25 @@ def append(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").option("ignoreNullFields", "false").json(path)
 
 
+def write_document(spark: SparkSession, path: str, text: str) -> None:
+    """One small text file, in any store that Spark writes to."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(conf).create(target, True)
+    out.write(text.encode())
+    out.close()
+
+
+def read_summary(spark: SparkSession, path: str) -> dict | None:
+    """A summary document; null if it isn't there or isn't JSON."""
+    if not exists(spark, path):
+        return None
+    try:
+        return json.loads("\n".join(r.value for r in spark.read.text(path).collect()))  # one small document
+    except ValueError:
+        return None
+
+
 def summary(one_row: DataFrame) -> dict:
     """A one-row result as a document."""
     return json.loads(one_row.toJSON().first() or "{}")

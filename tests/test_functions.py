@@ -185,7 +185,7 @@ def test_verdict_and_pairs(spark):
 
 def test_stubs():
     assert models.stub_generator()("p") == models.stub_generator()("p")
-    assert models.stub_language({"en": {"the"}, "de": {"der"}})("the cat") == "en" and models.stub_transcriber()("ab.") == "ab"
+    assert models.stub_language({"en": {"the"}, "de": {"der"}})("the cat") == {"label": "en", "confidence": 1.0} and models.stub_transcriber()("ab.") == "ab"
     assert len(models.resample(np.ones(100), 16000, 24000)) == 150 and len(models.resample(np.ones(100), 16000, 8000)) == 50
 
 
