@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera import schema
+from tessera import config, schema
 from tessera.functions import models, signal, text
 from tessera.operators import dedup, pairing, reports, resume, sampling, verdict
+from tessera.plans import stages
 from tessera.plans.fixtures import CANDIDATES, SIGNALS, SPEAKERS, SPOKEN, VOICE, candidates, signals, spoken, t, voice_bank
-from tessera.sources import catalog
+from tessera.sources import audio, catalog, manifests
 from tessera.streaming import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,13 +62,16 @@ def format_sniff(spark, sf):
 GROUPS = "WITH o AS (SELECT o_orderpriority AS source_file, o_orderkey AS k, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - 1 AS row_index FROM orders)"
 
 
-@query(GROUPS + " SELECT source_file, row_index // 100 AS row_group, count(*) AS rows_wanted FROM o WHERE k % 37 = 0 GROUP BY ALL")
+@query(f"WITH {SPEAKERS}, " + GROUPS.removeprefix("WITH ") + """ SELECT o.source_file, o.row_index // 100 AS row_group, count(*) AS rows_wanted
+  FROM o JOIN sampled s ON s.source_file = o.source_file AND s.row_index = o.k GROUP BY ALL""")
 def row_group_lookup(spark, sf):
+    """The row groups, of 100 rows each, that the selected clips lie in."""
     order = Window.partitionBy("source_file").orderBy("k")
     rows = t(spark, sf, "orders").select(F.col("o_orderpriority").alias("source_file"), F.col("o_orderkey").alias("k"))
     rows = rows.withColumn("row_index", F.row_number().over(order) - 1)
     groups = rows.groupBy("source_file", F.floor(F.col("row_index") / 100).alias("row_group")).agg(F.count("*").alias("n_rows"), F.sum("k").alias("n_bytes"))
-    return catalog.row_groups_touched(rows.filter("k % 37 = 0"), groups).drop("n_bytes")
+    wanted = rows.join(_selected(spark, sf).select("source_file", F.col("row_index").alias("k")), ["source_file", "k"], "left_semi")
+    return catalog.row_groups_touched(wanted, groups).drop("n_bytes")
 
 
 @query("SELECT count(*) FILTER (WHERE o_orderstatus = 'F') AS downloaded, count(*) FILTER (WHERE o_orderstatus = 'P') AS failed, count(DISTINCT (o_orderpriority, o_orderkey // 100)) AS row_groups, round(sum(o_totalprice), 2) AS bytes FROM orders")
@@ -77,6 +83,74 @@ def pull_stats(spark, sf):
     )
 
 
+def _folder(spark: SparkSession, label: str) -> str:
+    """A new folder in the place that the session's executors share."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = "file://" + tempfile.mkdtemp()
+    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+LANGS = [f"NATION_{i}" for i in range(25)]
+
+
+def _bank_files(spark, sf) -> tuple[str, list[str]]:
+    """The voice bank as files, one for each language, with the clip's name as its audio bytes; and the languages' folders."""
+    folder = _folder(spark, "bank")
+    rows = voice_bank(spark, sf).withColumn("audio_filepath", F.struct(F.col("fname").cast("binary").alias("bytes"), F.col("fname").alias("path")))
+    rows = rows.select("lang", *catalog.META, "audio_filepath", F.col("row_index").alias("k"))
+    rows.repartition("lang").sortWithinPartitions("lang", "k").write.partitionBy("lang").parquet(folder)
+    return folder, [f"lang={x}" for x in LANGS]
+
+
+FILES = VOICE + ", bank AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY row_index) - 1 AS place FROM voice)"
+
+
+@query(f"WITH {FILES} SELECT lang, place AS row_index, fname, duration, coalesce(gender, 'unknown') AS gender, speaker_id FROM bank")
+def catalog_files(spark, sf):
+    """The catalogue of files, with each row's place in its file."""
+    folder, languages = _bank_files(spark, sf)
+    rows = catalog.scan(spark, "local", folder, languages, "part")
+    return catalog.in_order(rows).select(F.substring_index("lang", "=", -1).alias("lang"), "row_index", "fname", "duration", "gender", "speaker_id")
+
+
+@query(f"""WITH {FILES}, pick AS (SELECT * FROM bank WHERE duration BETWEEN 5.0 AND 9.0)
+  SELECT lang, place AS row_index, '.wav' AS ext, length(fname)::BIGINT AS n_bytes, 'downloaded' AS status FROM pick UNION ALL SELECT lang, 1000000, '.bin', 0, 'failed' FROM (SELECT DISTINCT lang FROM bank)""")
+def pulled_clips(spark, sf):
+    """Bytes of chosen clips, read from their files by place, and a place of each file that doesn't exist."""
+    folder, languages = _bank_files(spark, sf)
+    rows = catalog.scan(spark, "local", folder, languages, "part").select("lang", "source_file", "row_index", "duration")
+    wanted = rows.filter("duration BETWEEN 5.0 AND 9.0").drop("duration")
+    absent = rows.select("lang", "source_file").distinct().withColumn("row_index", F.lit(1000000).cast("long"))
+    pulled = catalog.pull_audio(spark, wanted.unionByName(absent).withColumn("status", F.lit("selected")))
+    return pulled.select(F.substring_index("lang", "=", -1).alias("lang"), "row_index", "ext", F.coalesce(F.octet_length("content"), F.lit(0)).cast("long").alias("n_bytes"), "status")
+
+
+@query("SELECT o_orderkey AS k, o_orderpriority AS status FROM orders UNION ALL SELECT o_orderkey, 'again' FROM orders WHERE o_orderstatus = 'P'")
+def manifest_round_trip(spark, sf):
+    """A manifest written, added to and read back with its schema."""
+    path, kind = _folder(spark, "manifest"), schema.of("k long, status string")
+    rows = t(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderpriority").alias("status"), "o_orderstatus")
+    manifests.write(rows.drop("o_orderstatus"), path)
+    manifests.append(rows.filter("o_orderstatus = 'P'").select("k", F.lit("again").alias("status")), path)
+    return manifests.read(spark, path, kind, tolerant=True)
+
+
+@query("SELECT key, count(*) AS n FROM (SELECT unnest(json_keys(props::JSON)) AS key FROM events) GROUP BY 1")
+def document_keys(spark, sf):
+    return reports.keys_found(t(spark, sf, "events"), "props")
+
+
+@query("SELECT * FROM (VALUES ('seed: must be a whole number of at least 0', 'error'), ('data_acquisition.clips_per_speaker: 0 is below 1', 'error'), ('audio_engineering.norm: ''loud'' isn''t one of [''peak'', ''rms'']', 'error'), ('quality_control.typo: unknown', 'warning')) v(message, kind)")
+def settings_faults(spark, sf):
+    """Every fault of a settings document at once."""
+    raw = {"seed": -1, "data_acquisition": {"clips_per_speaker": 0}, "audio_engineering": {"norm": "loud"}, "quality_control": {"typo": 1}}
+    errors, warnings = config.faults(raw)
+    return spark.createDataFrame([(m, "error") for m in errors] + [(m, "warning") for m in warnings], "message string, kind string")
+
+
 # Selection
 
 
@@ -154,11 +228,11 @@ def sentence_verdict(spark, sf):
 
 def verdict_report(spark: SparkSession, sf: str) -> DataFrame:
     """Sentences by language and outcome, repeats among the good ones included."""
-    judged = _judged(spark, sf)
-    firsts = dedup.first_of_each(judged.filter("fault IS NULL").select("seq", "language", "key"), ["language", "key"], ["seq"]).select("seq", F.lit(True).alias("first"))
-    known = judged.select("seq", "language", "fault").join(firsts, "seq", "left")
-    reason = F.coalesce("fault", F.when(F.col("first"), "accepted"), F.lit("exact_duplicate"))
-    return known.groupBy("language", reason.alias("reason")).agg(F.count("*").alias("n"))
+    key = F.when(F.col("fault").isNull(), F.col("key"))
+    by = _judged(spark, sf).groupBy("language", "fault", key.alias("key")).agg(F.count("*").alias("n"))  # of a key the first is good, the others repeat it
+    good = F.col("fault").isNull()
+    outcomes = F.array(F.struct(F.coalesce("fault", F.lit("accepted")).alias("reason"), F.when(good, 1).otherwise(F.col("n")).alias("n")), F.struct(F.lit("exact_duplicate").alias("reason"), F.when(good, F.col("n") - 1).otherwise(0).alias("n")))
+    return by.select("language", F.inline(outcomes)).filter("n > 0").groupBy("language", "reason").agg(F.sum("n").alias("n"))
 
 
 @query(f"""WITH {CANDIDATES} SELECT language, coalesce(j.fault, CASE WHEN f.seq IS NULL THEN 'exact_duplicate' ELSE 'accepted' END) AS reason, count(*) AS n
@@ -180,6 +254,36 @@ def rejection_table(spark, sf):
     return reports.reason_table(_judged(spark, sf).filter("fault IS NOT NULL").select(F.col("fault").alias("reason")))
 
 
+@query(r"""WITH v AS (SELECT doc_id, list_transform(['de', 'en', 'es', 'fr'], lambda l: list_sum(list_transform(string_split(text, ' '), lambda w: CASE WHEN list_contains(CASE l
+    WHEN 'de' THEN ['der', 'die', 'und', 'in', 'ein'] WHEN 'en' THEN ['the', 'of', 'and', 'to', 'is'] WHEN 'es' THEN ['el', 'que', 'y', 'los', 'un'] ELSE ['le', 'et', 'les', 'des', 'une'] END, w) THEN 1 ELSE 0 END))::BIGINT) AS h, lang FROM documents),
+  b AS (SELECT doc_id, lang, ['de', 'en', 'es', 'fr'][list_position(h, list_max(h))] AS label, list_max(h) / greatest(1, list_sum(h)) AS confidence FROM v)
+  SELECT doc_id, label, round(confidence, 6) AS confidence, CASE WHEN label <> lang OR confidence < 0.5 THEN 'langid_mismatch:' || label END AS fault FROM b""")
+def language_gate(spark, sf):
+    """The language gate over whole texts, with the stand-in's label and confidence."""
+    listen = models.plug(models.stub_language, models.SAID)
+    rows = t(spark, sf, "documents").select("doc_id", "lang", listen("text").alias("s"))
+    fault = text.language_fault(F.col("s.value"), F.col("lang"), 0.5)
+    return rows.select("doc_id", F.col("s.value.label").alias("label"), F.round("s.value.confidence", 6).alias("confidence"), fault.alias("fault"))
+
+
+@query(f"WITH {CANDIDATES} SELECT seq, len(ws) AS word_count, length(text) AS char_count FROM judged WHERE fault IS NULL")
+def sentence_records(spark, sf):
+    rows = _judged(spark, sf).filter("fault IS NULL")
+    return rows.select("seq", F.size(text.words(F.col("text"))).cast("long").alias("word_count"), F.length("text").cast("long").alias("char_count"))
+
+
+@query("""SELECT language || '|' || source || '|' || attempt AS cell, 'Write 12 different statement sentences in ' || language || ' (Latin script) about ' || source || '. One sentence on each line, numbers in words, no list marks.' AS prompt,
+  ('0x' || left(sha256(concat_ws('|', '1234', language, source, attempt)), 8))::BIGINT AS seed
+  FROM (SELECT DISTINCT lang AS language FROM documents) CROSS JOIN (SELECT DISTINCT source FROM documents) CROSS JOIN (SELECT unnest(range(3))::VARCHAR AS attempt)""")
+def prompts(spark, sf):
+    """The prompt and the seed of every cell and attempt."""
+    docs = t(spark, sf, "documents")
+    cells = dedup.grid(docs.select(F.col("lang").alias("language")).distinct(), docs.select("source").distinct(), spark.range(3).select(F.col("id").cast("string").alias("attempt")))
+    asked = text.prompt(F.col("language"), F.lit("Latin"), F.col("source"), F.lit("statement"), F.lit(12))
+    seeded = text.seed(1234, F.col("language"), F.col("source"), F.col("attempt"))
+    return cells.select(F.concat_ws("|", "language", "source", "attempt").alias("cell"), asked.alias("prompt"), seeded.alias("seed"))
+
+
 LINES = r"""SELECT doc_id, len(l) AS n, array_to_string(list_transform(l, lambda x: x[1:12]), '|') AS heads FROM (SELECT doc_id, list_filter(list_transform(string_split('- 1. "' || text, chr(10)),
   lambda x: regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(trim(x), '^\s*[-*•]\s*', ''), '^\s*\d+[.)]\s*', ''), '^\s+|\s+$', '', 'g'), '^"+|"+$', '', 'g'), '^[“”]+|[“”]+$', '', 'g')), lambda x: trim(x) <> '') AS l FROM documents)"""
 
@@ -229,6 +333,13 @@ def cells_filled(spark, sf):
     return firsts.groupBy("language", "source", "kind").agg(F.count("*").alias("n"))
 
 
+@query(f"WITH {CANDIDATES} SELECT seq, language || '_' || lpad((row_number() OVER (ORDER BY language, seq) - 1)::VARCHAR, 6, '0') AS id FROM firsts")
+def pool_numbers(spark, sf):
+    """Numbers of the pool's sentences, counted over all languages."""
+    firsts = dedup.first_of_each(_judged(spark, sf).filter("fault IS NULL").select("seq", "language", "key"), ["language", "key"], ["seq"])
+    return stages.numbered(firsts).select("seq", "id")
+
+
 @query()
 def greedy_accept(spark, sf):
     """Exact only in order; tested against a plain loop."""
@@ -259,14 +370,14 @@ def lang_map_join(spark, sf):
 PAIRS = f"""WITH {SPEAKERS}, {CODES}, refs AS (
     SELECT coalesce(code, lang) AS language, lang || '_spk' || speaker_id || '_' || left(sha256(source_file), 8) || '_' || row_index AS ref_id, speaker_id, gender FROM sampled LEFT JOIN codes ON lang = name
   ), rj AS (SELECT *, row_number() OVER (PARTITION BY language ORDER BY ref_id) - 1 AS j, count(*) OVER (PARTITION BY language) AS n FROM refs
-  ), sent AS (SELECT 's' || lpad(doc_id::VARCHAR, 6, '0') AS id, CASE lang WHEN 'de' THEN 'n0' WHEN 'fr' THEN 'n1' WHEN 'en' THEN 'NATION_3' ELSE 'none' END AS language, left(text, 40) AS text FROM documents
+  ), sent AS (SELECT 's' || lpad(doc_id::VARCHAR, 6, '0') AS id, CASE lang WHEN 'de' THEN 'n0' WHEN 'fr' THEN 'n1' WHEN 'en' THEN 'NATION_3' ELSE 'none' END AS language, text FROM documents
   ), sk AS (SELECT *, row_number() OVER (PARTITION BY language ORDER BY id) - 1 AS k FROM sent
   ), pairs AS (SELECT s.id, s.language, s.text, r.ref_id, r.speaker_id, r.gender FROM sk s JOIN rj r ON s.language = r.language AND s.k % r.n = r.j) """
 
 
 def _pairs(spark, sf):
     lang = F.expr("CASE lang WHEN 'de' THEN 'n0' WHEN 'fr' THEN 'n1' WHEN 'en' THEN 'NATION_3' ELSE 'none' END")
-    sentences = t(spark, sf, "documents").select(F.concat(F.lit("s"), F.lpad(F.col("doc_id").cast("string"), 6, "0")).alias("id"), lang.alias("language"), F.substring("text", 1, 40).alias("text"))
+    sentences = t(spark, sf, "documents").select(F.concat(F.lit("s"), F.lpad(F.col("doc_id").cast("string"), 6, "0")).alias("id"), lang.alias("language"), "text")
     refs = _references(spark, sf).select(F.col("code").alias("language"), "ref_id", "speaker_id", "gender", F.col("local_audio_path").alias("ref_audio_path"))
     return pairing.round_robin(sentences, refs)
 
@@ -281,14 +392,17 @@ def utterances(spark, sf):
     return pairing.utterances(_pairs(spark, sf))
 
 
-@query(r"""WITH p AS (SELECT doc_id, regexp_replace(left(text, 3000), '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g') AS b FROM documents),
+CHUNKS = r"""WITH p AS (SELECT doc_id, regexp_replace(text, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g') AS b FROM documents),
   s AS (SELECT doc_id, b, list_filter(string_split(regexp_replace(b, '([।!?.])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS parts FROM p),
   c AS (SELECT doc_id, CASE WHEN length(b) <= 300 THEN [b] ELSE list_reduce(parts, lambda acc, x:
     CASE WHEN length(acc[-1]) + 1 + length(x[1]) <= 300 THEN list_concat(acc[:-2], [acc[-1] || ' ' || x[1]]) ELSE list_concat(acc, x) END, []::VARCHAR[]) END AS chunks
     FROM (SELECT doc_id, b, list_transform(parts, lambda x: [x]) AS parts FROM s))
-  SELECT doc_id, len(chunks) AS n_chunks, list_max(list_transform(chunks, lambda x: length(x))) AS longest, md5(array_to_string(chunks, chr(1))) AS chunks FROM c""")
+"""
+
+
+@query(CHUNKS + "SELECT doc_id, len(chunks) AS n_chunks, list_max(list_transform(chunks, lambda x: length(x))) AS longest, md5(array_to_string(chunks, chr(1))) AS chunks FROM c")
 def chunk_text(spark, sf):
-    rows = t(spark, sf, "documents").select("doc_id", text.chunk(F.substring("text", 1, 3000)).alias("c"))
+    rows = t(spark, sf, "documents").select("doc_id", text.chunk(F.col("text")).alias("c"))
     return rows.select("doc_id", F.size("c").cast("long").alias("n_chunks"), F.array_max(F.transform("c", F.length)).cast("long").alias("longest"), F.md5(F.array_join("c", "\x01")).alias("chunks"))
 
 
@@ -316,10 +430,10 @@ def _runs(size: int) -> str:
       lambda a, b: {{'last': b.last, 'run': CASE WHEN a.last = b.last THEN a.run + 1 ELSE 1 END, 'best': greatest(a.best, CASE WHEN a.last = b.last THEN a.run + 1 ELSE 1 END)}}).best"""
 
 
-@query(rf"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(left(text, 2000), '[\s\p{{Z}}]+'), lambda x: x <> '') AS ws FROM documents)
+@query(rf"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '[\s\p{{Z}}]+'), lambda x: x <> '') AS ws FROM documents)
   SELECT doc_id, CASE WHEN len(ws) < 3 THEN 1 ELSE greatest({_runs(1)}, {_runs(2)}, {_runs(3)}) END AS repeats FROM w""")
 def text_repetition(spark, sf):
-    return t(spark, sf, "documents").select("doc_id", text.consecutive_repeats(F.substring("text", 1, 2000)).alias("repeats"))
+    return t(spark, sf, "documents").select("doc_id", text.consecutive_repeats(F.col("text")).alias("repeats"))
 
 
 @query(f"WITH {SPOKEN} SELECT utt_id, round(spc, 4) AS metric, coalesce(spc BETWEEN 0.04 AND 0.30, false) AS passed FROM cers")
@@ -404,6 +518,30 @@ def lag_self_similarity(spark, sf):
     return rows.select("user_id", F.col("lag").cast("long").alias("lag"), F.round(F.size(pairs) / F.greatest(n, F.lit(1)), 4).alias("same"))
 
 
+@query(f"WITH {SIGNALS} SELECT user_id, round(list_sum(list_transform(x, lambda v: (v + v / 2) / 2)) / len(x), 6) AS mean_level, round(list_max(x) / 32768, 9) AS first_scaled FROM sig")
+def downmix(spark, sf):
+    """Two channels mixed to one, and levels of 16-bit samples."""
+    rows = signals(spark, sf).select("user_id", "x", signal.to_mono(F.transform("x", lambda v: F.array(v, v / 2))).alias("m"))
+    return rows.select("user_id", F.round(signal.mean(F.col("m")), 6).alias("mean_level"), F.round(F.array_max(signal.from_int16(F.col("x"))), 9).alias("first_scaled"))
+
+
+@query(f"WITH {SIGNALS} SELECT user_id, round(CASE WHEN rms <= 0 THEN 1.0 ELSE least(10 ** (-20 / 20) / rms, 10 ** (-1 / 20) / list_max(list_transform(x, lambda v: abs(v)))) END, 5) AS gain, true AS ok FROM lev")
+def rms_gain(spark, sf):
+    """Gain to a level, held below the ceiling, and the written signal's post-conditions."""
+    x = F.col("x")
+    rows = signals(spark, sf).withColumn("g", signal.gain(x, "rms", -20.0, -1.0))
+    return rows.select("user_id", F.round("g", 5).alias("gain"), signal.sound_ok(signal.scaled(x, F.col("g"))).alias("ok"))
+
+
+@query(f"WITH {SIGNALS} SELECT user_id, len(x) AS n_samples, 16000 AS rate, 1 AS channels, true AS same FROM sig")
+def wav_round_trip(spark, sf):
+    """Signals written as 16-bit WAV and decoded again, each sample within a step of what it was."""
+    rows = signals(spark, sf).select("user_id", "x", F.col("x").alias("y"), F.lit(16000).alias("own"))
+    back = audio.with_wav(rows, "y", "own", 16000, "w").select("user_id", "x", audio.decoded("w").alias("d"))
+    near = F.forall(F.zip_with("x", signal.to_mono(F.col("d.samples")), lambda a, b: F.abs(a - b) < 1e-4), lambda v: v)
+    return back.select("user_id", F.size("d.samples").cast("long").alias("n_samples"), F.col("d.rate").alias("rate"), F.col("d.channels").alias("channels"), near.alias("same"))
+
+
 # Verdicts and reports
 
 
@@ -425,6 +563,23 @@ def check_flatten(spark, sf):
     return verdict.flattened(_verdicts(spark, sf), "utt_id", ["dur_per_char", "cer"]).drop("reasons")
 
 
+@query(f"WITH {SPOKEN} SELECT utt_id, round(cer, 6) AS cer, NULL::DOUBLE AS absent FROM done")
+def check_metric(spark, sf):
+    """The metric of a named check, and of one that wasn't made."""
+    return _verdicts(spark, sf).select("utt_id", F.round(verdict.metric("cer"), 6).alias("cer"), verdict.metric("speaker_cos").alias("absent"))
+
+
+@query("""WITH r AS (SELECT label, arg_min(embedding, vec_id) AS ref FROM embeddings WHERE label <> 3 GROUP BY 1)
+  SELECT vec_id, round(CASE WHEN ref IS NOT NULL THEN list_sum(list_transform(range(1, 65), lambda i: e.embedding[i]::DOUBLE * ref[i]::DOUBLE)) / (sqrt(list_sum(list_transform(range(1, 65), lambda i: e.embedding[i]::DOUBLE * e.embedding[i]::DOUBLE)))
+    * sqrt(list_sum(list_transform(range(1, 65), lambda i: ref[i]::DOUBLE * ref[i]::DOUBLE))) + 1e-9) END, 5) AS speaker_sim FROM embeddings e LEFT JOIN r USING (label)""")
+def speaker_similarity(spark, sf):
+    """Vectors against their reference's, the first of their label; one label has no reference."""
+    rows = t(spark, sf, "embeddings").select("vec_id", F.col("label").alias("ref_id"), F.col("embedding").alias("samples"))
+    refs = rows.filter("ref_id <> 3").groupBy("ref_id").agg(F.min_by("samples", "vec_id").alias("samples"))
+    same = lambda c: F.struct(F.col(c).alias("value"))  # noqa: E731  the vectors are the voices
+    return stages.voice_similarity(rows, refs, same).select("vec_id", F.round("speaker_sim", 5).alias("speaker_sim"))
+
+
 @query(f"WITH {SPOKEN} SELECT reason, count(*) AS n FROM (SELECT unnest(list_filter([CASE WHEN NOT spc_ok THEN 'dur_per_char' END, CASE WHEN NOT cer_ok THEN 'cer' END], lambda r: r IS NOT NULL)) AS reason FROM done) GROUP BY 1")
 def failure_reasons(spark, sf):
     rows = _verdicts(spark, sf).select(F.explode("qc_reasons").alias("r"))
@@ -455,13 +610,17 @@ def gender_balance(spark, sf):
     return reports.gender_balance(_verdicts(spark, sf), "utt_id")
 
 
+WORDS_OF = r"len(list_filter(regexp_split_to_array(text, '[\s\p{Z}]+'), lambda x: x <> ''))"
+
+
 def _dist(metric: str, value: str) -> str:
-    return f"SELECT '{metric}' AS metric, round(min({value})::DOUBLE, 4) AS min_value, round(avg({value}), 4) AS avg_value, round(max({value})::DOUBLE, 4) AS max_value FROM done WHERE qc_passed"
+    return f"SELECT '{metric}' AS metric, round(min({value})::DOUBLE, 4) AS min_value, round(avg({value}), 4) AS avg_value, round(max({value})::DOUBLE, 4) AS max_value FROM done WHERE qc_passed HAVING count({value}) > 0"
 
 
-@query(f"WITH {SPOKEN} " + " UNION ALL ".join(_dist(*x) for x in (("duration", "duration"), ("chars", "length(text)"), ("cer", "cer"))))
+@query(f"WITH {SPOKEN} " + " UNION ALL ".join(_dist(*x) for x in (("duration", "duration"), ("chars", "length(text)"), ("words", WORDS_OF), ("cer", "cer"))))
 def distributions(spark, sf):
-    return reports.summaries(_verdicts(spark, sf).filter("qc_passed").withColumn("chars", F.length("text")), ["duration", "chars", "cer"])
+    rows = _verdicts(spark, sf).filter("qc_passed").withColumns({"chars": F.length("text"), "words": F.size(text.words(F.col("text")))})
+    return reports.summaries(rows, ["duration", "chars", "words", "cer"])
 
 
 @query(f"""WITH {SPOKEN}, f AS (SELECT unnest(list_filter([CASE WHEN NOT spc_ok THEN 'dur_per_char' END, CASE WHEN NOT cer_ok THEN 'cer' END], lambda r: r IS NOT NULL)) AS failed_check FROM done WHERE NOT qc_passed)
@@ -478,11 +637,14 @@ def check_metrics(spark, sf):
 
 @query(f"""WITH {CANDIDATES}, {SPOKEN.replace("done AS", "vd AS")}, s AS (
   SELECT 0 AS stage_no, 'clips' AS stage, count(*) AS seen, count(*) FILTER (WHERE o_orderstatus = 'F') AS passed FROM orders UNION ALL
-  SELECT 1, 'sentences', count(*), count(*) FILTER (WHERE fault IS NULL) FROM judged UNION ALL SELECT 2, 'utterances', count(*), count(*) FILTER (WHERE qc_passed) FROM vd)
+  SELECT 1, 'prepared', count(*), count(*) FILTER (WHERE l_returnflag <> 'R') FROM lineitem UNION ALL
+  SELECT 2, 'sentences', count(*), count(*) FILTER (WHERE fault IS NULL) FROM judged UNION ALL
+  SELECT 3, 'utterances', count(*), count(*) FILTER (WHERE event_type <> 'error') FROM events UNION ALL SELECT 4, 'certified', count(*), count(*) FILTER (WHERE qc_passed) FROM vd)
   SELECT stage_no, stage, passed, seen - passed AS failed, round(passed / seen, 4) AS pass_rate FROM s""")
 def stage_rates(spark, sf):
     return reports.stage_rates({
-        "clips": (t(spark, sf, "orders"), F.col("o_orderstatus") == "F"), "sentences": (_judged(spark, sf), F.col("fault").isNull()), "utterances": (_verdicts(spark, sf), F.col("qc_passed")),
+        "clips": (t(spark, sf, "orders"), F.col("o_orderstatus") == "F"), "prepared": (t(spark, sf, "lineitem"), F.col("l_returnflag") != "R"),
+        "sentences": (_judged(spark, sf), F.col("fault").isNull()), "utterances": (t(spark, sf, "events"), F.col("event_type") != "error"), "certified": (_verdicts(spark, sf), F.col("qc_passed")),
     })
 
 
@@ -543,8 +705,7 @@ def event_windows(spark, sf):
 @query("SELECT doc_id, quality FROM labels QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY quality) = 1")
 def stream_ingest(spark, sf):
     """Labels as JSON lines taken in by a stream, twice; the second run finds nothing new."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp()
-    folder = f"{base.rstrip('/')}/ingest-{spark.sparkContext.applicationId}-{len(sf)}-{spark.sql('SELECT uuid()').first()[0]}"
+    folder = _folder(spark, "ingest")
     kind = schema.of("doc_id long, quality int")
     t(spark, sf, "labels").select("doc_id", "quality").write.json(f"{folder}/in")
     for _ in range(2):
@@ -552,17 +713,30 @@ def stream_ingest(spark, sf):
     return spark.read.schema(kind).parquet(f"{folder}/out")
 
 
+@query("SELECT CASE WHEN quality = 0 THEN 'poor' ELSE 'toxic' END AS reason, count(*) AS \"count\" FROM labels WHERE quality = 0 OR toxic = 1 GROUP BY 1")
+def stream_rejections(spark, sf):
+    """Running counts by reason, over labels taken in as a stream."""
+    folder, name = _folder(spark, "rejections"), f"rejections_{uuid.uuid4().hex}"
+    reason = F.expr("CASE WHEN quality = 0 THEN 'poor' WHEN toxic = 1 THEN 'toxic' END")
+    manifests.write(t(spark, sf, "labels").select("doc_id", reason.alias("reason")), f"{folder}/in")
+    ingest.rejection_counts(spark, f"{folder}/in", schema.of("doc_id long, reason string"), name, f"{folder}/state").awaitTermination()
+    return spark.table(name)
+
+
 # Model plug points
 
 
-@query()
+@query(CHUNKS + """ SELECT doc_id, md5(regexp_replace(text, '[.!?]+$', '')) AS transcript, sum(length(c) * 6)::BIGINT AS n_samples,
+  count(*) FILTER (WHERE length(c) = 0) AS errors, 64 AS n_dims FROM (SELECT doc_id, text, unnest(chunks) AS c FROM c JOIN documents USING (doc_id)) GROUP BY doc_id, text""")
 def model_plugs(spark, sf):
-    """All stand-ins in turn, with errors kept beside their rows; Python by nature, so tested and not in SQL."""
-    rows = t(spark, sf, "documents").select("doc_id", F.when(F.col("doc_id") % 50 == 0, "").otherwise(F.substring("text", 1, 40)).alias("s"))
-    heard, voice = models.plug(models.stub_transcriber, "string"), models.plug(models.stub_synthesizer, "array<float>")
-    vector = models.plug(models.stub_embedder, "array<float>")
-    out = rows.select("doc_id", heard("s").alias("h"), voice("s").alias("v"), vector("s").alias("e"))
-    return out.select("doc_id", F.col("h.value").alias("transcript"), F.size("v.value").alias("n_samples"), F.col("v.error").alias("error"), F.size("e.value").alias("n_dims"))
+    """The stand-ins over whole texts: heard and embedded at once, spoken chunk by chunk at 100 samples a second."""
+    heard, vector = models.plug(models.stub_transcriber, "string"), models.plug(models.stub_embedder, "array<float>")
+    voice = models.plug(partial(models.stub_synthesizer, 100), "array<float>")
+    rows = t(spark, sf, "documents").select("doc_id", "text")
+    spoken = rows.select("doc_id", F.explode(text.chunk(F.col("text"))).alias("c")).select("doc_id", voice("c").alias("v"))
+    said = spoken.groupBy("doc_id").agg(F.sum(F.coalesce(F.size("v.value"), F.lit(0))).alias("n_samples"), F.count("v.error").alias("errors"))
+    out = rows.select("doc_id", heard("text").alias("h"), vector("text").alias("e")).join(said, "doc_id")
+    return out.select("doc_id", F.md5("h.value").alias("transcript"), "n_samples", "errors", F.size("e.value").alias("n_dims"))
 
 
 @query("SELECT lang, CASE lang WHEN 'de' THEN 'de' WHEN 'en' THEN 'en' ELSE 'fr' END AS code, count(*) AS n FROM documents GROUP BY ALL")

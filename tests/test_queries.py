@@ -36,8 +36,13 @@ def test_oracle(spark, duck, name):
     assert rows_of(Q.QUERIES[name](spark, SF_SMALL).toPandas()) == rows_of(duck.execute(Q.ORACLE[name]).df())
 
 
-def test_greedy_accept_is_the_plain_loop(spark):
-    rows = sorted(Q._judged(spark, SF_SMALL).select("seq", "language", "source", "kind", "key", "fault").collect())
+def test_accept_without_vectors_is_the_plain_loop(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.operators.dedup import accept_in_order
+
+    judged = Q._judged(spark, SF_SMALL)
+    rows = sorted(judged.select("seq", "language", "source", "kind", "key", "fault").collect())
     keys, filled, want = set(), {}, {}
     for r in rows:
         at = (r.language, r.source, r.kind)
@@ -49,7 +54,8 @@ def test_greedy_accept_is_the_plain_loop(spark):
             want[r.seq] = "accepted"
         else:
             want[r.seq] = r.fault or "exact_duplicate"
-    assert {r.seq: r.outcome for r in Q.greedy_accept(spark, SF_SMALL).collect()} == want
+    blind = judged.withColumns({"cell": F.concat_ws("|", "language", "source", "kind"), "vector": F.lit(None).cast("array<float>")})
+    assert {r.seq: r.outcome for r in accept_in_order(blind, 13, 0.92).collect()} == want
 
 
 def test_greedy_accept_near_duplicates(spark):
@@ -88,9 +94,30 @@ def test_greedy_accept_compares_vectors(spark):
     assert {r.seq: r.outcome for r in Q.greedy_accept(spark, SF_SMALL).collect()} == want
 
 
-def test_model_plugs(spark):
-    rows = Q.model_plugs(spark, SF_SMALL).collect()
-    assert all((r.error is None) == (r.doc_id % 50 != 0) and r.n_dims == 64 for r in rows)
+def test_errors_stay_with_their_rows(spark):
+    """A row that a model can't do has its error; the others have their values."""
+    from tessera.functions import models
+
+    voice = models.plug(models.stub_synthesizer, "array<float>")
+    rows = spark.createDataFrame([(1, "abc"), (2, ""), (3, "x")], "id int, s string").select("id", voice("s").alias("v")).collect()
+    assert {r.id: (r.v.error, r.v.value and len(r.v.value)) for r in rows} == {1: (None, 2880), 2: ("ValueError: nothing to say", None), 3: (None, 960)}
+
+
+def plain_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_cer_is_the_plain_distance_of_whole_texts(spark):
+    rows = Q._scored(spark, SF_SMALL).selectExpr("text", "asr_transcript", "cer").collect()
+    plain = lambda t: " ".join("".join(" " if c in "।.,?!\"'()[]{}:;-—…" else c for c in t).split())
+    pairs = [(plain(r.text), plain(r.asr_transcript), r.cer) for r in rows]
+    assert max(len(a) for a, _, _ in pairs) > 300
+    assert all(abs(plain_distance(a, b) / len(a) - c) < 1e-9 for a, b, c in pairs)
 
 
 def test_candidates_are_ordered(spark):
