@@ -9,12 +9,14 @@ the result.
 
 A shingle that several texts have among their first is a bucket. A group of
 near copies shares hundreds of buckets, and its pairs grow with the square of
-its size, so pairs are not listed: first every text is compared with one text
-only, the one that is the least of most of its buckets. The links found, and
-SimHash's classes, join texts to groups; a bucket whose texts are all of one
-group is done with. In the others, texts of different groups are compared,
-each pair once, if their sizes and the shingles' places leave enough to share.
-So no link between two groups is missed, and no pair inside a group is needed.
+its size, so its pairs are not listed: first every text is compared with one
+text only, the one that is the least of most of its buckets. The links found,
+and SimHash's classes, join texts to groups; what lies within one group needs
+no more comparing. Texts that hang together by heavy buckets are a family, and
+a family is compared in blocks, two in a task. In the light buckets texts of
+different groups are compared, each pair once, if their sizes, the first
+shingles that they share and those shingles' places leave enough to share. So
+no link between two groups is missed.
 
 Texts with fewer words than a shingle are one shingle; texts without words are
 copies of nothing, but for SimHash's classes. Shingles are compared by 64-bit
@@ -25,6 +27,8 @@ texts. An empty table gives no rows; other columns are kept as they are.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -44,6 +48,10 @@ TENTHS = 8
 DRAWN, OFTEN, MOST = 4000, 4, 50_000
 #: Rows of a table (of about 50 bytes each) up to which it is broadcast; a larger one is joined by a shuffle.
 BROADCAST_ROWS = 400_000
+#: Texts of a block, and shingles compared at once, where a large family is compared in blocks.
+BLOCK_TEXTS, COLUMNS = 256, 1 << 14
+#: A bucket is heavy if it holds more texts than this and than the square root of all texts.
+LEAST_HEAVY = 64
 #: Texts whose shingles a task remembers to have given, so that copies give them once.
 SEEN = 200_000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -140,6 +148,13 @@ def broadcast_if_small(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
 
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of wanted (a written table with digest) with their texts, one for each digest, as a written table; only these texts move."""
+    rest = [c for c in wanted.columns if c != "digest"]
+    own = docs.select(text_digest(docs["text"]).alias("digest"), docs["text"].alias("text"))
+    return persist_table(own.join(broadcast_if_small(wanted), "digest").dropDuplicates(["digest"]).select(*rest, "text"), "texts")
+
+
 def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Links (a, b) between groups, a < b, from the pairs of keys (ka, kb) whose texts are near copies.
 
@@ -148,10 +163,8 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """
     pairs = persist_table(pairs, "pairs")
     wanted = pairs.select(F.explode(F.array("ka", "kb")).alias("key")).distinct()
-    wanted = persist_table(nodes.join(wanted, "key").select(F.col("digest").alias("_digest"), "key", "group"), "wanted")
-    own = docs.select(text_digest(docs["text"]).alias("_digest"), docs["text"].alias("text"))
-    texts = own.join(broadcast_if_small(wanted), "_digest").dropDuplicates(["_digest"]).select("key", "group", "text")
-    texts = persist_table(texts, "texts")
+    wanted = persist_table(nodes.join(wanted, "key").select("digest", "key", "group"), "wanted")
+    texts = texts_of(docs, wanted)
     of = lambda c: texts.select(F.col("key").alias(f"k{c}"), F.col("group").alias(f"g{c}"), F.col("text").alias(f"t{c}"))
     met = pairs.join(of("a"), "ka").join(of("b"), "kb").filter("ga <> gb")
 
@@ -170,6 +183,79 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     return found
 
 
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each of left shares with each of right."""
+    vocabulary = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    for at in range(0, len(vocabulary), COLUMNS):
+        part = vocabulary[at : at + COLUMNS]
+
+        def rows(sets: list[np.ndarray]) -> np.ndarray:
+            filled = np.zeros((len(sets), len(part)), dtype=np.float32)
+            for row, own in zip(filled, sets):
+                place = np.minimum(np.searchsorted(own, part), max(0, len(own) - 1))
+                row[:] = own[place] == part if len(own) else 0
+            return filled
+
+        out += rows(left) @ rows(right).T
+    return out.astype(np.int64)
+
+
+def joining(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """As many of the links (a, b) as join what they join."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for x, y in sorted(set(zip(a.tolist(), b.tolist()))):
+        rx, ry = find(x), find(y)
+        if rx != ry:
+            parent[max(rx, ry)] = min(rx, ry)
+            out.append((min(x, y), max(x, y)))
+    return out
+
+
+def links_inside(docs: DataFrame, placed: DataFrame) -> DataFrame:
+    """Links (a, b) between roots inside each family, enough to join all that have near copies in each other.
+
+    placed: (key, digest, family, root) of texts. A family's texts are dealt
+    into blocks, and a task compares two blocks, so its work spreads however
+    large it is; only links that join something leave the task.
+    """
+    sizes = placed.groupBy("family").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("_last")).filter("least <> _last")
+    blocks = F.ceil(F.col("n") / BLOCK_TEXTS).cast("int")
+    wanted = persist_table(placed.join(sizes.select("family", blocks.alias("blocks")), "family").select("digest", "key", "family", "root", "blocks"), "families")
+    texts = texts_of(docs, wanted)
+    own = F.pmod(F.xxhash64("key", F.lit("block")), F.col("blocks")).cast("int")
+    dealt = texts.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = dealt.select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "root", "text")
+
+    def compare(cell: pa.Table) -> pa.Table:
+        own, i = cell["own"].to_numpy(), cell["i"][0].as_py()
+        same = cell["i"][0].as_py() == cell["j"][0].as_py()
+        sets, root = [shingles(t) for t in cell["text"].to_pylist()], cell["root"].to_numpy()
+        left = np.flatnonzero(own == i)
+        right = left if same else np.flatnonzero(own != i)
+        links: list[tuple[int, int]] = []
+        if len(left) and len(right):
+            shared = shared_counts([sets[k] for k in left], [sets[k] for k in right])
+            n = np.array([len(s) for s in sets])
+            near = (shared > 0) & (shared * (10 + TENTHS) >= TENTHS * (n[left][:, None] + n[right][None, :])) & (root[left][:, None] != root[right][None, :])
+            x, y = np.nonzero(near)
+            links = joining(root[left][x], root[right][y])
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    found = persist_table(cells.groupBy("family", "i", "j").applyInArrow(compare, LINKS).distinct(), "family-links")
+    for used in (wanted, texts):
+        drop_table(used)
+    return found
+
+
 def roots(links: DataFrame) -> DataFrame:
     """group and root of every group that is linked to another."""
     stars = persist_table(connected_components(links), "stars")
@@ -183,27 +269,42 @@ def near_links(docs: DataFrame, marks: DataFrame, nodes: DataFrame) -> DataFrame
     """
     place = F.shiftleft("n", 32).bitwiseOR(F.col("at").cast("long"))
     rows = marks.select("key", "n", F.posexplode("first").alias("at", "h")).select("h", "key", place.alias("place"))
-    buckets = rows.groupBy("h").agg(F.min("key").alias("pivot"), F.max("key").alias("_last")).filter("pivot <> _last").drop("_last")
-    members = persist_table(rows.join(buckets, "h"), "members")
-    group = nodes.select("key", "group", "n")
+    buckets = rows.groupBy("h").agg(F.min("key").alias("pivot"), F.max("key").alias("_last"), F.count("*").alias("held")).filter("pivot <> _last").drop("_last")
+    heavy = F.col("held") > max(LEAST_HEAVY, math.isqrt(nodes.count()))
+    members = persist_table(rows.join(buckets, "h").select("h", "key", "place", "pivot", heavy.alias("heavy")), "members")
+    # One comparison for every text.
     one = members.filter("key <> pivot").groupBy("key", "pivot").agg(F.count("*").alias("_c"))
     one = one.groupBy("key").agg(F.max_by("pivot", F.struct("_c", F.bitwise_not("pivot"))).alias("pivot"))
-    side = lambda c: group.select(F.col("key").alias(f"k{c}"), F.col("group").alias(f"g{c}"), F.col("n").alias(f"n{c}"))
+    side = lambda c: nodes.select(F.col("key").alias(f"k{c}"), F.col("group").alias(f"g{c}"), F.col("n").alias(f"n{c}"))
     met = one.select(F.col("key").alias("ka"), F.col("pivot").alias("kb")).join(side("a"), "ka").join(side("b"), "kb")
     near_sizes = 10 * F.least("na", "nb") >= TENTHS * F.greatest("na", "nb")
-    first = verified(docs, nodes, met.filter((F.col("ga") != F.col("gb")) & near_sizes).select("ka", "kb").distinct())
-    known = nodes.join(roots(first), "group", "left").select("key", F.coalesce("root", "group").alias("root"))
-    placed = members.drop("pivot").join(persist_table(known.distinct(), "roots"), "key")
+    found = verified(docs, nodes, met.filter((F.col("ga") != F.col("gb")) & near_sizes).select("ka", "kb").distinct())
+    # Heavy buckets: families of texts that hang together by them, all against all in blocks.
+    chained = members.filter("heavy AND key <> pivot").select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct()
+    family = roots(chained).select(F.col("group").alias("key"), F.col("root").alias("family"))
+    placed = nodes.join(roots(found), "group", "left").select("key", "digest", F.coalesce("root", "group").alias("root"))
+    found = found.unionByName(links_inside(docs, placed.join(family, "key")))
+    # The other buckets: pairs of different groups.
+    known = nodes.join(roots(found), "group", "left").select("key", F.coalesce("root", "group").alias("root")).distinct()
+    weight = members.groupBy("key").agg(F.countDistinct(F.when(F.col("heavy"), F.col("h"))).alias("heavies"))
+    placed = members.filter("NOT heavy").select("h", "key", "place").join(persist_table(known.join(weight, "key"), "roots"), "key")
     open_ = placed.groupBy("h").agg(F.min("root").alias("least"), F.max("root").alias("_last")).filter("least <> _last").drop("_last")
     left = persist_table(placed.join(open_, "h").distinct(), "open")
-    side = lambda c: left.select("h", *[F.col(x).alias(f"{x}_{c}") for x in ("key", "place", "root", "least")])
+    side = lambda c: left.select("h", *[F.col(x).alias(f"{x}_{c}") for x in ("key", "place", "root", "least", "heavies")])
     size, at = (lambda c: F.shiftright(f"place_{c}", 32)), (lambda c: F.col(f"place_{c}").bitwiseAND(F.lit((1 << 32) - 1)))
-    # The first shared shingle of a pair has all that they share at and behind it.
-    enough = F.least(size("a") - at("a"), size("b") - at("b")) * (10 + TENTHS) >= (size("a") + size("b")) * TENTHS
     apart = (F.col("root_a") != F.col("root_b")) & ((F.col("root_b") == F.col("least_b")) | (F.col("key_a") < F.col("key_b")))
-    met = side("a").filter("root_a <> least_a").join(side("b"), "h").filter(apart & enough)
-    pairs = met.select(F.least("key_a", "key_b").alias("ka"), F.greatest("key_a", "key_b").alias("kb")).distinct()
-    found = first.unionByName(verified(docs, nodes, pairs))
+    near_sizes = 10 * F.least(size("a"), size("b")) >= TENTHS * F.greatest(size("a"), size("b"))
+    met = side("a").filter("root_a <> least_a").join(side("b"), "h").filter(apart & near_sizes)
+    first = F.col("key_a") < F.col("key_b")
+    behind = lambda c: size(c) - 1 - at(c)
+    pairs = met.select(
+        F.least("key_a", "key_b").alias("ka"), F.greatest("key_a", "key_b").alias("kb"), (size("a") + size("b")).alias("both"), F.least("heavies_a", "heavies_b").alias("heavies"),
+        F.when(first, behind("a")).otherwise(behind("b")).alias("behind_a"), F.when(first, behind("b")).otherwise(behind("a")).alias("behind_b"),
+    )
+    # What a pair can share: light first shingles met, heavy ones at most, and what lies behind the last one met.
+    pairs = pairs.groupBy("ka", "kb", "both", "heavies").agg(F.count("*").alias("met"), F.min("behind_a").alias("behind_a"), F.min("behind_b").alias("behind_b"))
+    most = F.col("met") + F.col("heavies") + F.least("behind_a", "behind_b")
+    found = found.unionByName(verified(docs, nodes, pairs.filter(most * (10 + TENTHS) >= F.col("both") * TENTHS).select("ka", "kb").distinct()))
     for used in (members, left):
         drop_table(used)
     return found

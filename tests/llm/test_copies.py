@@ -97,6 +97,25 @@ def test_large_groups_and_chains(spark):
     assert kept_places(spark, texts) == set(groups)
 
 
+def test_families_in_blocks(spark, monkeypatch):
+    """The same groups where buckets count as heavy and families have several blocks."""
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    base, texts = [word() for _ in range(120)], []
+    for i in range(90):
+        w = list(base)
+        for place in rnd.sample(range(120), 1 + i % 4):
+            w[place] = word()
+        texts.append(" ".join(w))
+    texts += [" ".join(base[:60] + [word() for _ in range(60)]) for _ in range(10)] + [t for _, t in planted()[0][:30]]
+    groups, links = plain_groups(texts)
+    assert 1 < len(set(groups)) < len(texts) - 40
+    monkeypatch.setattr(copies, "LEAST_HEAVY", 5)
+    monkeypatch.setattr(copies, "BLOCK_TEXTS", 16)
+    monkeypatch.setattr(copies, "COLUMNS", 50)
+    assert kept_places(spark, texts) == set(groups)
+
+
 def test_copies_in_a_table_larger_than_a_broadcast(spark, monkeypatch):
     rows, _ = planted()
     monkeypatch.setattr(copies, "BROADCAST_ROWS", 0)
