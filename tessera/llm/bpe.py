@@ -46,24 +46,27 @@ class Memo(dict):
     """A dict of bounded bytes: two generations, the older one dropped when the newer is full.
 
     Keys of over `longest` characters are worked out each time and not kept:
-    long words hardly come again.
+    long words hardly come again. weigh gives the bytes of a value; without it
+    an entry counts as a word and its ids, by the word's length.
     """
 
-    def __init__(self, make, budget: int = 48 << 20, longest: int = 256, weigh=getsizeof):
+    def __init__(self, make, budget: int = 48 << 20, longest: int = 256, weigh=None):
         super().__init__()
         self.make, self.budget, self.longest, self.weigh, self.old, self.held = make, budget, longest, weigh, {}, 0
 
     def __missing__(self, key):
-        if len(key) > self.longest:
+        n = len(key)
+        if n > self.longest:
             return self.make(key)
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if self.held >= self.budget:
-            self.old, self.held = dict(self), 0
+        held = self.held + (150 + 5 * n if self.weigh is None else 100 + getsizeof(key) + self.weigh(value))
+        if held > self.budget:
+            self.old, held = dict(self), 0
             self.clear()
         self[key] = value
-        self.held += getsizeof(key) + self.weigh(value) + 100  # the entry's own place
+        self.held = held
         return value
 
 
@@ -78,7 +81,7 @@ def byte_alphabet() -> dict[int, str]:
 class LibraryEncoder:
     """encode(text) gives the ids of a tokenizers file as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, budget: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
         from tokenizers import Tokenizer
@@ -91,13 +94,13 @@ class LibraryEncoder:
         self.special = [t["content"] for t in spec["added_tokens"]]
         kind = json.dumps([spec["normalizer"], spec["pre_tokenizer"]])
         self.table = byte_alphabet()
-        self.parts = Memo(self._part)
+        self.parts = Memo(self._part, budget)
         if spec["normalizer"] is None and '"ByteLevel", "add_prefix_space": false' in kind and '"use_regex": true' in kind:
             self.encode_slice = self._encode_spaced
-            self.words = Memo(self._later_word)
+            self.words = Memo(self._later_word, budget)
         elif '"Lowercase"' in kind and '"NFC"' in kind and '"Removed"' in kind:
             self.encode_slice = self._encode_split
-            self.words = Memo(self._lower_word)
+            self.words = Memo(self._lower_word, budget)
         else:
             self.encode_slice = None
 
@@ -179,8 +182,8 @@ _RUNS = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 _LOADED: dict[str, LibraryEncoder] = {}
 
 
-def encoder(path: str) -> LibraryEncoder:
-    """One encoder for each worker process and file."""
+def encoder(path: str, budget: int = 72 << 20) -> LibraryEncoder:
+    """One encoder for each worker process and file; budget: bytes of each of its two memos' generations."""
     if path not in _LOADED:
-        _LOADED[path] = LibraryEncoder(path)
+        _LOADED[path] = LibraryEncoder(path, budget)
     return _LOADED[path]

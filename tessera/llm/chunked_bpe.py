@@ -11,7 +11,7 @@ if the chunk's ids agree exactly with the ids of its parts, else the next one
 is tried, and at last the chunks are encoded as one text.
 
 Nothing is shuffled: chunk ids aren't exchanged between executors, since moving
-every chunk would cost more than encoding it. Null texts count as empty (no
+every chunk would cost more than encoding it (figures in the README). Null texts count as empty (no
 ids). Repeated rows, empty tables and other columns need no special care: each
 row gives one row with doc_id and its result.
 """
@@ -35,8 +35,8 @@ ENCODED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("id
 DECODED = T.StructType([*ENCODED.fields, T.StructField("decoded", T.StringType())])
 #: Bytes that the rolling hash sees; chunk lengths in bytes, with the mean a power of two.
 WINDOW_STEPS, LEAST, MEAN, MOST = 5, 256, 1024, 4096
-#: Bytes hashed at once; bytes of chunks and of joins that a worker keeps.
-BLOCK, KEPT_CHUNKS, KEPT_JOINS = 1 << 20, 12 << 20, 8 << 20
+#: Bytes hashed at once; bytes of chunks, of joins and of words that a worker keeps.
+BLOCK, KEPT_CHUNKS, KEPT_JOINS, KEPT_WORDS = 1 << 20, 12 << 20, 8 << 20, 48 << 20
 _GEAR = np.random.default_rng(20240229).integers(0, 2**64, 256, dtype=np.uint64)
 
 
@@ -79,7 +79,7 @@ class Chunk(NamedTuple):
 
 class ChunkedEncoder:
     def __init__(self, path: str, chunk_bytes: int = KEPT_CHUNKS, join_bytes: int = KEPT_JOINS):
-        self.encode_plain = encoder(path).encode
+        self.encode_plain = encoder(path, KEPT_WORDS).encode
         self.chunks = Memo(self._chunk, chunk_bytes, MOST + 4, lambda chunk: sum(map(getsizeof, chunk or ())))
         self.joins = Memo(self.encode_plain, join_bytes, MOST)
 
