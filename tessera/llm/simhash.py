@@ -21,6 +21,9 @@ The graph's nodes are distinct fingerprints: exact copies, however many, are
 one node. Links become components by alternating large and small stars, each
 round a written table; joins on a hub are salted. Groups with a third of all
 rows are met only by partial aggregates and by a join that Spark can split.
+Spark judges an exploded table by the size of the file that it comes from, so
+cells and salted tables, which have many rows for each of the file's, are
+marked for a merge join: broadcast, they would fill the driver.
 
 A null or empty text has no words and fingerprint zero, which links like any
 other. Texts with fewer words than a shingle hash their whole word sequence.
@@ -45,6 +48,8 @@ from tessera.llm.common import drop_table, fresh_name, map_texts, persist_table
 
 PRINTS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("print", T.LongType())])
 SEED, SHINGLE, RADIUS, SALTS = 42, 3, 2, 16
+#: Links up to which a table of their nodes (two longs, two rows for each link at most) is broadcast instead of salted.
+FEW = 50_000
 #: Bytes of a text whose words are held at once.
 BLOCK = 1 << 20
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -143,14 +148,16 @@ def near_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     )
     differing = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     meets = (F.col("cell") == F.col("cell_b")) & once & (differing <= radius)
-    return left.join(right, meets).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return left.hint("merge").join(right, meets).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def _salted(rows: DataFrame, key: str, other: str, table: DataFrame) -> DataFrame:
-    """Join rows with a table of one row for each key, without bringing a hub's rows to one task."""
+def _salted(rows: DataFrame, key: str, other: str, table: DataFrame, n: int) -> DataFrame:
+    """Join rows with a table of one row for each key, without bringing a hub's rows to one task; n: the number of links."""
+    if n <= FEW:
+        return rows.join(F.broadcast(table), key)
     salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("_salt")
     dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int"))
-    return dealt.join(table.select("*", salts), [key, "_salt"]).drop("_salt")
+    return dealt.join(table.select("*", salts).hint("merge"), [key, "_salt"]).drop("_salt")
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -164,11 +171,11 @@ def connected_components(links: DataFrame) -> DataFrame:
         seen = mark
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = _salted(both, "u", "v", least).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = _salted(both, "u", "v", least, mark.n).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         before, large = edges, persist_table(large.filter("u <> v").distinct(), "large-star")
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = _salted(down, "u", "v", least).select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+        small = _salted(down, "u", "v", least, mark.n).select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         edges = persist_table(small.select("e.u", "e.v").filter("u <> v").distinct(), "small-star")
         drop_table(before)
         drop_table(large)
@@ -181,7 +188,7 @@ def components(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     members = stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())
     named = persist_table(members.join(nodes, members.node == nodes.print).select("node", "root", "first"), "members")
     smallest = named.groupBy("root").agg(F.min("first").alias("component"))
-    linked = _salted(named, "root", "node", smallest).select(F.col("node").alias("print"), F.col("root").alias("group"), "component")
+    linked = _salted(named, "root", "node", smallest, stars.count()).select(F.col("node").alias("print"), F.col("root").alias("group"), "component")
     classes = nodes.join(linked, "print", "left").select(
         F.col("print").alias("p"), F.coalesce("group", "print").alias("group"), F.coalesce("component", "first").alias("component_id")
     )

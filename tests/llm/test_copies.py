@@ -149,3 +149,20 @@ def test_stage_on_odd_documents(spark, odd_docs):
 
 def test_stage_on_an_empty_table(spark, odd_docs):
     assert corpus_pipeline.drop_near_duplicates(spark, odd_docs.limit(0), SF_ORACLE).count() == 0
+
+
+def test_exploded_tables_are_not_broadcast(spark, monkeypatch):
+    """Spark takes them for as small as the files that they come from; components stay whole either way."""
+    rnd = random.Random(6)
+    near = [rnd.getrandbits(60) ^ (1 << rnd.randrange(60)) for _ in range(200)]
+    values = sorted({*near, *(p ^ (1 << rnd.randrange(60)) for p in near), *(near[0] ^ (1 << i) for i in range(40))})
+    prints = simhash.persist_table(spark.createDataFrame([(p, i) for i, p in enumerate(values)], "print long, doc_id long"), "prints")
+    plan = lambda df: df._jdf.queryExecution().sparkPlan().toString()
+    assert "Broadcast" not in plan(simhash.near_links(prints.select("print")))
+    least = plain_components(values)
+    for few in (simhash.FEW, 0):
+        monkeypatch.setattr(simhash, "FEW", few)
+        found = {r.p: r.component_id for r in simhash.components(prints).collect()}
+        assert [found[p] for p in values] == least
+    table = prints.select(F.col("print").alias("u"), F.col("doc_id").alias("m"))
+    assert "Broadcast" not in plan(simhash._salted(table.withColumn("v", F.col("u")).drop("m"), "u", "v", table, 1))
