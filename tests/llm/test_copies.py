@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -166,3 +167,33 @@ def test_exploded_tables_are_not_broadcast(spark, monkeypatch):
         assert [found[p] for p in values] == least
     table = prints.select(F.col("print").alias("u"), F.col("doc_id").alias("m"))
     assert "Broadcast" not in plan(simhash._salted(table.withColumn("v", F.col("u")).drop("m"), "u", "v", table, 1))
+
+
+def test_sketches_rule_out_no_near_copy():
+    """They differ in no more cells than the sets in shingles, whatever their sizes, and in nearly as many."""
+    rnd = np.random.default_rng(8)
+    sets = []
+    for n in (1, 3, 31, 33, 200, 513, 3000, 70_000):
+        base = np.unique(rnd.integers(0, 1 << 63, n, dtype=np.uint64))
+        sets += [base] + [np.unique(np.concatenate([base[int(n * cut) :], rnd.integers(0, 1 << 63, int(n * cut), dtype=np.uint64)])) for cut in (0.1, 0.3)] + [base[: -(-n * 17 // 20)]]
+    sketches, n = [copies.sketch(x) for x in sets], np.array([len(x) for x in sets])
+    apart = np.array([[len(np.setxor1d(a, b)) for b in sets] for a in sets])
+    differ = np.array([[copies.differing(a, b) for b in sketches] for a in sketches])
+    assert (differ <= apart).all()
+    seen = copies.possible(sketches, sketches, n, n)
+    near = np.array([[copies.similar(a, b) for b in sets] for a in sets])
+    assert (seen >= near).all() and seen[near].all() and not seen[8, 10]
+    by_pairs = copies.may_be_near(differ, n[:, None] + n[None, :])
+    assert (by_pairs[seen]).all() and (by_pairs >= near).all()
+
+
+def test_only_texts_that_sketches_allow_move(spark, monkeypatch):
+    """Texts with half their words in common meet in buckets, but none of them is read to compare it."""
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    base = [word() for _ in range(100)]
+    texts = [" ".join(base + [word() for _ in range(100)]) for _ in range(30)]
+    moved, plain = [], copies.texts_of
+    monkeypatch.setattr(copies, "LEAST_HEAVY", 5)
+    monkeypatch.setattr(copies, "texts_of", lambda docs, wanted: moved.append(wanted.count()) or plain(docs, wanted))
+    assert kept_places(spark, texts) == set(range(30)) and moved and not any(moved)
