@@ -216,8 +216,8 @@ def sketches_of(marks: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def with_both(pairs: DataFrame, table: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """pairs (ka, kb) with columns of table, by its key, for a and for b."""
-    of = lambda c: table.select(F.col("key").alias(f"k{c}"), *[F.col(x).alias(f"{y}{c}") for x, y in columns.items()])
+    """pairs (ka, kb) with columns of table, by its key, for a and for b; never broadcast: a few MB of a file can be many of texts."""
+    of = lambda c: table.select(F.col("key").alias(f"k{c}"), *[F.col(x).alias(f"{y}{c}") for x, y in columns.items()]).hint("merge")
     return pairs.join(of("a"), "ka").join(of("b"), "kb")
 
 
@@ -393,7 +393,7 @@ def near_links(docs: DataFrame, marks: DataFrame, nodes: DataFrame) -> DataFrame
     rows = marks.select("key", "n", F.posexplode("first").alias("at", "h")).select("h", "key", place.alias("place"))
     buckets = rows.groupBy("h").agg(F.min("key").alias("pivot"), F.max("key").alias("_last"), F.count("*").alias("held")).filter("pivot <> _last").drop("_last")
     heavy = F.col("held") > max(LEAST_HEAVY, math.isqrt(nodes.count()))
-    members = persist_table(rows.join(buckets, "h").select("h", "key", "place", "pivot", heavy.alias("heavy")), "members")
+    members = persist_table(rows.hint("merge").join(buckets, "h").select("h", "key", "place", "pivot", heavy.alias("heavy")), "members")
     # One comparison for every text.
     one = members.filter("key <> pivot").groupBy("key", "pivot").agg(F.count("*").alias("_c"))
     one = one.groupBy("key").agg(F.max_by("pivot", F.struct("_c", F.bitwise_not("pivot"))).alias("pivot"))
@@ -411,12 +411,12 @@ def near_links(docs: DataFrame, marks: DataFrame, nodes: DataFrame) -> DataFrame
     weight = members.groupBy("key").agg(F.countDistinct(F.when(F.col("heavy"), F.col("h"))).alias("heavies"))
     placed = members.filter("NOT heavy").select("h", "key", "place").join(persist_table(known.join(weight, "key"), "roots"), "key")
     open_ = placed.groupBy("h").agg(F.min("root").alias("least"), F.max("root").alias("_last")).filter("least <> _last").drop("_last")
-    left = persist_table(placed.join(open_, "h").distinct(), "open")
+    left = persist_table(placed.hint("merge").join(open_, "h").distinct(), "open")
     side = lambda c: left.select("h", *[F.col(x).alias(f"{x}_{c}") for x in ("key", "place", "root", "least", "heavies")])
     size, at = (lambda c: F.shiftright(f"place_{c}", 32)), (lambda c: F.col(f"place_{c}").bitwiseAND(F.lit((1 << 32) - 1)))
     apart = (F.col("root_a") != F.col("root_b")) & ((F.col("root_b") == F.col("least_b")) | (F.col("key_a") < F.col("key_b")))
     near_sizes = 10 * F.least(size("a"), size("b")) >= TENTHS * F.greatest(size("a"), size("b"))
-    met = side("a").filter("root_a <> least_a").join(side("b"), "h").filter(apart & near_sizes)
+    met = side("a").filter("root_a <> least_a").hint("merge").join(side("b"), "h").filter(apart & near_sizes)
     first = F.col("key_a") < F.col("key_b")
     behind = lambda c: size(c) - 1 - at(c)
     pairs = met.select(

@@ -197,3 +197,10 @@ def test_only_texts_that_sketches_allow_move(spark, monkeypatch):
     monkeypatch.setattr(copies, "LEAST_HEAVY", 5)
     monkeypatch.setattr(copies, "texts_of", lambda docs, wanted: moved.append(wanted.count()) or plain(docs, wanted))
     assert kept_places(spark, texts) == set(range(30)) and moved and not any(moved)
+
+
+def test_exploded_tables_of_near_copies_are_not_broadcast(spark):
+    texts = spark.createDataFrame([(k, k % 3, "some text") for k in range(9)], "key long, group long, text string")
+    pairs = texts.select(F.col("key").alias("ka"), (8 - F.col("key")).alias("kb"))
+    plan = copies.with_both(pairs, copies.persist_table(texts, "texts"), {"text": "t"})._jdf.queryExecution().sparkPlan().toString()
+    assert "Broadcast" not in plan
