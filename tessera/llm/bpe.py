@@ -4,6 +4,8 @@ A tokenizer file of the library is run in two levels. A text is cut at white
 space where the file's own pre-tokenizer always cuts; each cut-out word is
 looked up in a bounded memo. A word not seen yet goes through the
 pre-tokenizer, and each of its parts through the library's merge model, once.
+A word of letters is one part by itself; as a part of other words it is looked
+up among the words, so it is held once.
 Texts whose cuts aren't certain (runs of white space, special tokens) take the
 library's whole-text path, so ids always equal encode(...).ids.
 """
@@ -40,6 +42,8 @@ _SEPARATORS = re.compile("[\x1c-\x1f]")
 SAFE_CUT = re.compile(rf"(?<=[^{SPACE}]) (?=[^{SPACE}])")
 #: Longer texts are encoded slice by slice.
 SLICE = 1 << 20
+#: The memo of parts gets this share of the bytes of the words' memo: it holds no words of letters.
+PARTS_SHARE = 8
 
 
 class Memo(dict):
@@ -94,7 +98,7 @@ class LibraryEncoder:
         self.special = [t["content"] for t in spec["added_tokens"]]
         kind = json.dumps([spec["normalizer"], spec["pre_tokenizer"]])
         self.table = byte_alphabet()
-        self.parts = Memo(self._part, budget)
+        self.parts = Memo(self._part, budget // PARTS_SHARE)
         if spec["normalizer"] is None and '"ByteLevel", "add_prefix_space": false' in kind and '"use_regex": true' in kind:
             self.encode_slice = self._encode_spaced
             self.words = Memo(self._later_word, budget)
@@ -130,11 +134,13 @@ class LibraryEncoder:
     def _word(self, word: str) -> bytes:
         """Ids of a piece of text that starts and ends where the pre-tokenizer cuts."""
         if word.isascii() or max(word) < _LATIN_END:
-            return b"".join(map(self.parts.__getitem__, _BYTE_LATIN.findall(word)))
+            return b"".join([self.words[p[1:]] if p[0] == " " and p[1:].isalpha() else self.parts[p] for p in _BYTE_LATIN.findall(word)])
         return b"".join(self._ids(x) for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(word))
 
     def _later_word(self, word: str) -> bytes:
         """A word after a space, which is its pre-token's, or with the line end before it."""
+        if word.isalpha() and (word.isascii() or max(word) < _LATIN_END):
+            return self._part(" " + word)
         return self._word(word if word[:1] == "\n" else " " + word)
 
     def _lower_word(self, word: str) -> bytes:
@@ -182,8 +188,8 @@ _RUNS = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 _LOADED: dict[str, LibraryEncoder] = {}
 
 
-def encoder(path: str, budget: int = 72 << 20) -> LibraryEncoder:
-    """One encoder for each worker process and file; budget: bytes of each of its two memos' generations."""
+def encoder(path: str, budget: int = 56 << 20) -> LibraryEncoder:
+    """One encoder for each worker process and file; budget: bytes of a generation of its words."""
     if path not in _LOADED:
         _LOADED[path] = LibraryEncoder(path, budget)
     return _LOADED[path]

@@ -224,6 +224,19 @@ def test_memo_is_bounded_by_bytes():
     assert memo["x" * 101] == "X" * 101 and "x" * 101 not in memo
 
 
+@pytest.mark.parametrize("path", [BYTE])
+def test_words_of_letters_are_held_once(path):
+    from tessera.llm.bpe import LibraryEncoder
+
+    lib = LibraryEncoder(path, 1 << 20)
+    text = "so quixo, (quixo) quixo été's Quixo- quixo"
+    assert lib.encode(text) == lib.encode_whole(text)
+    assert "quixo" in lib.words and (" quixo" if path == BYTE else "quixo") not in lib.parts
+    for i in range(0, 60_000, 100):
+        lib.encode(" ".join(f"w{j}x, v{j}" for j in range(i, i + 100)))
+    assert lib.words.held + lib.parts.held < 1.2 * (1 << 20) and lib.parts.budget * 8 <= lib.words.budget
+
+
 def test_texts_of_megabytes(spark):
     """A long text without spaces, one of white space and one of words, counted and encoded whole."""
     texts = ["日本語" * 70_000, " \n" * 300_000, "some words, and more. " * 60_000]
