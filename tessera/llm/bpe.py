@@ -36,7 +36,7 @@ _L, _N, _LOW = _latin("L"), _latin("N"), _latin("L", lower=True)
 _BYTE_LATIN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{SPACE}{_L}{_N}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 _WORD_LATIN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LOW}]+|[{_N}]|[^{SPACE}{_LOW}{_N}]+")
 SPACE_SET = frozenset(chr(c) for c in range(0x3001) if re.match(f"[{SPACE}]", chr(c)))
-_ODD_SPACE = re.compile("[\t\x0b\x0c\r\x85\xa0  -     　]")
+_ODD_SPACES = "".join(sorted(SPACE_SET - {" ", "\n"}))
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 #: A space between two characters that aren't white space: both kinds of file always cut there.
 SAFE_CUT = re.compile(rf"(?<=[^{SPACE}]) (?=[^{SPACE}])")
@@ -126,6 +126,8 @@ class LibraryEncoder:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _part(self, part: str) -> bytes:
+        if part.isascii() and part.isprintable():
+            return self._ids(part.replace(" ", "Ġ"))
         return self._ids(part.encode().decode("latin-1").translate(self.table))
 
     def _ids(self, mapped: str) -> bytes:
@@ -163,7 +165,7 @@ class LibraryEncoder:
     def _uncertain(self, text: str) -> bool:
         return (
             text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or any(x in text for x in ("  ", " \n", "\n ", "\n\n"))
-            or _ODD_SPACE.search(text) is not None or self._has_special(text)
+            or any(x in text for x in _ODD_SPACES) or self._has_special(text)
         )
 
     def encode_runs(self, text: str) -> bytes:

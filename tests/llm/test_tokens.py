@@ -237,6 +237,17 @@ def test_words_of_letters_are_held_once(path):
     assert lib.words.held + lib.parts.held < 1.2 * (1 << 20) and lib.parts.budget * 8 <= lib.words.budget
 
 
+def test_plain_parts_skip_the_byte_table():
+    from tessera.llm.bpe import LibraryEncoder
+
+    lib = LibraryEncoder(BYTE, 1 << 20)
+    text = "plain words, then été and \x7f or \x01"
+    want, lib.table = lib.encode_whole(text), {}
+    assert lib.encode("plain words, then") == lib.encode_whole("plain words, then")
+    lib = LibraryEncoder(BYTE, 1 << 20)
+    assert lib.encode(text) == want
+
+
 def test_texts_of_megabytes(spark):
     """A long text without spaces, one of white space and one of words, counted and encoded whole."""
     texts = ["日本語" * 70_000, " \n" * 300_000, "some words, and more. " * 60_000]
