@@ -146,8 +146,11 @@ class LibraryEncoder:
         return self._word(word if word[:1] == "\n" else " " + word)
 
     def _lower_word(self, word: str) -> bytes:
-        if word.isascii() or max(word) < _LATIN_END:
-            return b"".join(map(self.parts.__getitem__, _WORD_LATIN.findall(word.lower())))
+        low = word.lower()
+        if low.isascii() or max(low) < _LATIN_END:
+            if low.isalpha():
+                return self._part(low) if low == word else self.words[low]
+            return b"".join([self.words[p] if p.isalpha() else self.parts[p] for p in _WORD_LATIN.findall(low)])
         word = self.tokenizer.normalizer.normalize_str(word)
         return b"".join(self._ids(x) for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(word))
 

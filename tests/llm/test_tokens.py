@@ -224,7 +224,7 @@ def test_memo_is_bounded_by_bytes():
     assert memo["x" * 101] == "X" * 101 and "x" * 101 not in memo
 
 
-@pytest.mark.parametrize("path", [BYTE])
+@pytest.mark.parametrize("path", [BYTE, WORD])
 def test_words_of_letters_are_held_once(path):
     from tessera.llm.bpe import LibraryEncoder
 
@@ -248,6 +248,12 @@ def test_plain_parts_skip_the_byte_table():
     assert lib.encode(text) == want
 
 
+def test_letters_that_grow_when_lowered():
+    """Lower-casing these gives letters beyond the Latin patterns."""
+    for text in ("a ȺB ȾȾx y", "İx Ⱥ1"):
+        assert encoder(WORD).encode(text) == encoder(WORD).encode_whole(text)
+
+
 def test_texts_of_megabytes(spark):
     """A long text without spaces, one of white space and one of words, counted and encoded whole."""
     texts = ["日本語" * 70_000, " \n" * 300_000, "some words, and more. " * 60_000]
