@@ -6,11 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tessera.functions.signal import dot
+#: Vectors of a slice, and pairs of which a task holds the products at once.
+SLICE_ROWS, PAIRS_AT_ONCE = 1 << 14, 1 << 21
 
 
 def first_of_each(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -20,19 +23,51 @@ def first_of_each(rows: DataFrame, keys: list[str], order: list[str]) -> DataFra
 
 
 def near_pairs(vectors: DataFrame, threshold: float, block: str, id_col: str = "vec_id", vector: str = "embedding", slices: int = 8) -> DataFrame:
-    """Pairs of unit vectors of one block with a cosine of at least threshold, exactly.
-
-    Rows of a block are dealt into a square of slices, so that a large block is
-    compared by many tasks, each of two slices; slices should grow with the
-    largest block, so that two of its slices fit in a task.
+    """Pairs of vectors of one block with a dot product, which for unit vectors is the cosine, of at least threshold, exactly.
+
+    Every pair is compared, so the work grows with the square of a block. A
+    block's rows are dealt into slices, as many as keep one below SLICE_ROWS
+    and `slices` at least, and a task compares two slices: its memory is
+    bounded however large a block is. Matrix products rule out pairs that are
+    clearly below; what is left is summed up in the order of the dimensions.
+    Rows without an id, a block or a number in some place are in no pair.
     """
-    tag = F.pmod(F.xxhash64(id_col), F.lit(slices)).cast("int")
-    own = vectors.select(F.col(id_col), F.col(vector).alias("_v"), F.col(block).alias("_b"), tag.alias("_s"))
-    all_slices = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
-    left = own.select(F.col(id_col).alias("a"), F.col("_v").alias("va"), "_b", F.col("_s").alias("i"), all_slices.alias("j"))
-    right = own.select(F.col(id_col).alias("b"), F.col("_v").alias("vb"), "_b", F.col("_s").alias("j"), all_slices.alias("i"))
-    met = left.join(right, ["_b", "i", "j"]).filter("a < b")
-    return met.withColumn("similarity", dot(F.col("va"), F.col("vb"))).filter(F.col("similarity") >= threshold).select("a", "b", "similarity")
+    own = vectors.select(F.col(id_col).alias("id"), F.col(vector).alias("v"), F.col(block).alias("_b"), F.size(vector).alias("_d"))
+    own = own.filter(F.col("id").isNotNull() & F.col("_b").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", lambda x: x.isNull()))
+    largest = vectors.groupBy(F.col(block)).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    n = max(slices, -(-largest // SLICE_ROWS))
+    dealt = own.withColumn("own", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")).withColumn("_o", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    cells = dealt.select("id", F.col("v").cast("array<double>").alias("v"), "_b", "_d", "own", F.least("own", "_o").alias("i"), F.greatest("own", "_o").alias("j"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell = pa.Table.from_batches(list(batches))
+        ids, tag, i, j = cell["id"].to_numpy(), cell["own"].to_numpy(), cell["i"][0].as_py(), cell["j"][0].as_py()
+        values = pa.concat_arrays([c.flatten() for c in cell["v"].chunks]).to_numpy().reshape(len(ids), cell["_d"][0].as_py())
+        left = np.flatnonzero(tag == i)
+        right = left if i == j else np.flatnonzero(tag != i)
+        if not len(left) or not len(right):
+            return
+        columns, others = np.ascontiguousarray(values.T), values[right].T
+        norms = np.sqrt((values**2).sum(axis=1))
+        slack = 4 * (values.shape[1] + 1) * np.finfo(float).eps * norms[left].max() * norms[right].max()
+        step = max(1, PAIRS_AT_ONCE // len(right))
+        for part in np.split(left, range(step, len(left), step)):
+            open_ = ~(values[part] @ others < threshold - slack)
+            if i == j:
+                open_ &= part[:, None] < right[None, :]
+            x, y = np.nonzero(open_)
+            x, y = part[x], right[y]
+            found = np.zeros(len(x))
+            for column in columns:
+                found += column[x] * column[y]
+            near = ~(found < threshold) & (ids[x] != ids[y])
+            a, b, found = ids[x[near]], ids[y[near]], found[near]
+            if len(found):
+                yield pa.RecordBatch.from_arrays([pa.array(np.where(a < b, a, b), cell.schema.field("id").type), pa.array(np.where(a < b, b, a), cell.schema.field("id").type), pa.array(found)], names=["a", "b", "similarity"])
+
+    kind = vectors.schema[id_col].dataType
+    pairs = T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("similarity", T.DoubleType())])
+    return cells.groupBy("_b", "_d", "i", "j").applyInArrow(compare, pairs)
 
 
 def within_quota(rows: DataFrame, cell: list[str], order: list[str], quota: int) -> DataFrame:

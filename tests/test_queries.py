@@ -122,3 +122,24 @@ def test_cer_is_the_plain_distance_of_whole_texts(spark):
 
 def test_candidates_are_ordered(spark):
     assert candidates(spark, SF_SMALL).groupBy("seq").count().filter("count > 1").count() == 0
+
+
+def test_near_pairs_in_many_slices(spark, monkeypatch):
+    """Each pair once, by no join, whatever the slices; rows without an id, a block, a vector or one of its numbers are left out."""
+    import numpy as np
+
+    from tessera.operators import dedup
+
+    monkeypatch.setattr(dedup, "SLICE_ROWS", 7)
+    monkeypatch.setattr(dedup, "PAIRS_AT_ONCE", 20)
+    made = np.random.default_rng(5).normal(size=(120, 6)).astype(np.float32)
+    rows = [(k, [float(x) for x in v], k % 2) for k, v in enumerate(made / np.linalg.norm(made, axis=1, keepdims=True))]
+    rows += [(0, rows[1][1], 0), (500, rows[2][1][:5], 0), (501, None, 0), (502, [None, *rows[2][1][1:]], 0), (None, rows[2][1], 0), (503, rows[2][1], None)]
+    found = dedup.near_pairs(spark.createDataFrame(rows, "vec_id long, embedding array<float>, block int"), 0.35, "block")
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    own = [r for r in rows if r[0] is not None and r[2] is not None and r[1] and None not in r[1]]
+    dot = lambda a, b: sum((x * y for x, y in zip(a, b)), 0.0)
+    want = sorted((a, b, dot(v, w)) for a, v, p in own for b, w, q in own if a < b and p == q and len(v) == len(w) and dot(v, w) >= 0.35)
+    got = sorted((r.a, r.b, r.similarity) for r in found.collect())
+    assert len(want) > 200 and [x[:2] for x in got] == [x[:2] for x in want]
+    assert max(abs(x[2] - y[2]) for x, y in zip(got, want)) < 1e-12
