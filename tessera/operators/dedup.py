@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tessera.functions.numbers import rounded
+
 #: Vectors of a slice, and pairs of which a task holds the products at once.
 SLICE_ROWS, PAIRS_AT_ONCE = 1 << 14, 1 << 21
 
@@ -155,4 +157,4 @@ def outcome_counts(outcomes: DataFrame, by: str = "outcome") -> DataFrame:
 
 def share(part: Column, whole: Column, digits: int = 4) -> Column:
     """A rounded ratio; null where there is nothing to divide by."""
-    return F.round(F.try_divide(part.cast("double"), whole.cast("double")), digits)
+    return rounded(F.try_divide(part.cast("double"), whole.cast("double")), digits)

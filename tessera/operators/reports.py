@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tessera.functions.numbers import rounded
 from tessera.operators.dedup import share
 from tessera.operators.verdict import reason_name
 
@@ -15,7 +16,7 @@ def datacard(rows: DataFrame) -> DataFrame:
     return rows.agg(
         F.count("*").alias("checked"), F.count_if(passed).alias("passed"), share(F.count_if(passed), F.count("*")).alias("pass_rate"),
         F.countDistinct("language").alias("languages"), F.countDistinct("language", "speaker_id").alias("speakers"),
-        F.round(F.sum(F.when(passed, F.col("duration"))), 2).alias("valid_seconds"), F.round(F.sum(F.when(passed, F.col("duration"))) / 3600, 4).alias("valid_hours"),
+        rounded(F.sum(F.when(passed, F.col("duration"))), 2).alias("valid_seconds"), rounded(F.sum(F.when(passed, F.col("duration"))) / 3600, 4).alias("valid_hours"),
     )
 
 
@@ -48,9 +49,10 @@ def gender_balance(rows: DataFrame, order: str) -> DataFrame:
 
 def summaries(rows: DataFrame, metrics: list[str], digits: int = 4) -> DataFrame:
     """min, avg and max of each metric, in one pass over the rows, as long form; metrics without values are left out."""
-    aggregates = [f(m).alias(f"{n}_{m}") for m in metrics for n, f in (("min", F.min), ("avg", F.avg), ("max", F.max))]
-    wide = rows.select(*[F.col(m).cast("double").alias(m) for m in metrics]).agg(*aggregates)
-    cells = F.array(*[F.struct(F.lit(m).alias("metric"), *[F.round(f"{n}_{m}", digits).alias(f"{n}_value") for n in ("min", "avg", "max")]) for m in metrics])
+    mean = lambda m: F.try_divide(F.sum(m).cast("double"), F.count(m))  # noqa: E731  sums of whole numbers and decimals are exact
+    aggregates = [f(m).cast("double").alias(f"{n}_{m}") for m in metrics for n, f in (("min", F.min), ("avg", mean), ("max", F.max))]
+    wide = rows.select(*metrics).agg(*aggregates)
+    cells = F.array(*[F.struct(F.lit(m).alias("metric"), *[rounded(f"{n}_{m}", digits).alias(f"{n}_value") for n in ("min", "avg", "max")]) for m in metrics])
     return wide.select(F.inline(cells)).filter("min_value IS NOT NULL")
 
 
@@ -59,7 +61,7 @@ def rejections(rows: DataFrame) -> DataFrame:
     failed = rows.filter(~F.col("qc_passed"))
     by = failed.select(F.explode("qc_reasons").alias("r")).groupBy(reason_name(F.col("r")).alias("failed_check")).agg(F.count("*").alias("utterances"))
     total = failed.agg(F.count("*").alias("failed"))
-    return by.crossJoin(total).select("failed_check", "utterances", F.round(100 * F.col("utterances") / F.col("failed"), 2).alias("pct"))
+    return by.crossJoin(total).select("failed_check", "utterances", rounded(100 * F.col("utterances") / F.col("failed"), 2).alias("pct"))
 
 
 def check_metrics(rows: DataFrame) -> DataFrame:
@@ -67,14 +69,14 @@ def check_metrics(rows: DataFrame) -> DataFrame:
     by = c.groupBy(F.col("c.name").alias("check_name")).agg(
         F.min("c.metric").alias("lo"), F.avg("c.metric").alias("mid"), F.max("c.metric").alias("hi"), F.count_if(~F.col("c.passed")).alias("n_failed")
     )
-    return by.filter("lo IS NOT NULL").select("check_name", *[F.round(x, 4).alias(f"{n}_value") for x, n in (("lo", "min"), ("mid", "avg"), ("hi", "max"))], "n_failed")
+    return by.filter("lo IS NOT NULL").select("check_name", *[rounded(x, 4).alias(f"{n}_value") for x, n in (("lo", "min"), ("mid", "avg"), ("hi", "max"))], "n_failed")
 
 
 def reason_table(reasons: DataFrame) -> DataFrame:
     """Rejections by reason with their share of all rejections, the most frequent first."""
     by = reasons.groupBy("reason").agg(F.count("*").alias("n"))
     total = by.agg(F.sum("n").alias("total"))
-    return by.crossJoin(total).select("reason", "n", F.round(100 * F.col("n") / F.col("total"), 2).alias("pct")).orderBy(F.col("n").desc(), "reason")
+    return by.crossJoin(total).select("reason", "n", rounded(100 * F.col("n") / F.col("total"), 2).alias("pct")).orderBy(F.col("n").desc(), "reason")
 
 
 def stage_rates(stages: dict[str, tuple[DataFrame, Column]]) -> DataFrame:
@@ -94,8 +96,8 @@ def throughput(stages: DataFrame) -> DataFrame:
     by = stages.rollup("stage").agg(F.sum("elapsed_s").alias("elapsed_s"), F.sum("load_s").alias("load_s"), F.sum("items").alias("items"), F.grouping("stage").alias("_all"))
     minutes = F.greatest(F.col("elapsed_s"), F.lit(1e-9)) / 60
     return by.select(
-        F.when(F.col("_all") == 1, "total").otherwise(F.col("stage")).alias("stage"), F.round("elapsed_s", 2).alias("elapsed_s"), F.round(F.col("elapsed_s") - F.col("load_s"), 2).alias("process_s"),
-        F.round(F.col("elapsed_s") / 3600, 4).alias("hours"), "items", F.round(F.col("items") / minutes, 3).alias("items_per_min"), share(F.col("load_s"), F.col("elapsed_s")).alias("load_share"),
+        F.when(F.col("_all") == 1, "total").otherwise(F.col("stage")).alias("stage"), rounded("elapsed_s", 2).alias("elapsed_s"), rounded(F.col("elapsed_s") - F.col("load_s"), 2).alias("process_s"),
+        rounded(F.col("elapsed_s") / 3600, 4).alias("hours"), "items", rounded(F.col("items") / minutes, 3).alias("items_per_min"), share(F.col("load_s"), F.col("elapsed_s")).alias("load_share"),
     )
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.numbers import rounded
+
 CHECKS = "array<struct<name: string, passed: boolean, metric: double, detail: string>>"
 # Names of the checks, in the order in which they are reported.
 CHECK_NAMES = ["silence", "clipping", "truncation", "dur_per_char", "looping_audio", "cer", "looping_text", "speaker_cos"]
@@ -30,7 +32,7 @@ def metric(name: str) -> Column:
 def flattened(rows: DataFrame, key: str, names: list[str] = CHECK_NAMES) -> DataFrame:
     """One column for each check's outcome and metric; no shuffle, since names are known."""
     first = lambda n: F.get(F.filter("qc_checks", lambda c: c["name"] == n), F.lit(0))
-    cols = [c for n in names for c in (first(n)["passed"].alias(f"{n}_pass"), F.round(first(n)["metric"], 4).alias(f"{n}_metric"))]
+    cols = [c for n in names for c in (first(n)["passed"].alias(f"{n}_pass"), rounded(first(n)["metric"], 4).alias(f"{n}_metric"))]
     return rows.select(key, "qc_passed", F.array_join("qc_reasons", ";").alias("reasons"), *cols)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera import config, schema
 from tessera.functions import models, signal, text
+from tessera.functions.numbers import rounded
 from tessera.operators import dedup, pairing, resume, sampling, verdict
 from tessera.sources import audio, catalog, manifests
 
@@ -167,15 +168,15 @@ def certify(utterances: DataFrame, s: config.Quality, rate: int, transcribe: Plu
     level, spc = signal.clamped_dbfs(signal.rms(x)), text.seconds_per_char(F.col("duration"), F.col("text"))
     clipped, tail = signal.clipped_share(x, s.clip_sample_thresh), signal.tail_ratio(levels, max(1, int(s.trunc_tail_ms / 10)))
     checks = [
-        verdict.check("silence", (level >= s.silence_rms_dbfs) & (signal.active_share(levels, s.silence_rms_dbfs) >= s.silence_active_frac_min), F.round(level, 2)),
-        verdict.check("clipping", (clipped <= s.clip_frac_max) & (signal.longest_run(x, s.clip_sample_thresh) < s.clip_run_max), F.round(clipped, 6)),
-        verdict.check("truncation", F.coalesce(tail <= s.trunc_tail_ratio, F.lit(True)), F.round(F.coalesce(tail, F.lit(0.0)), 3)),
-        verdict.check("dur_per_char", F.coalesce(spc.between(s.dur_per_char_min, s.dur_per_char_max), F.lit(False)), F.round(spc, 4)),
+        verdict.check("silence", (level >= s.silence_rms_dbfs) & (signal.active_share(levels, s.silence_rms_dbfs) >= s.silence_active_frac_min), rounded(level, 2)),
+        verdict.check("clipping", (clipped <= s.clip_frac_max) & (signal.longest_run(x, s.clip_sample_thresh) < s.clip_run_max), rounded(clipped, 6)),
+        verdict.check("truncation", F.coalesce(tail <= s.trunc_tail_ratio, F.lit(True)), rounded(F.coalesce(tail, F.lit(0.0)), 3)),
+        verdict.check("dur_per_char", F.coalesce(spc.between(s.dur_per_char_min, s.dur_per_char_max), F.lit(False)), rounded(spc, 4)),
     ]
     if s.loop_band_frac <= 1:
         loops = models.plug(partial(models.looping_share, rate, s.loop_min_lag_s, s.loop_pair_sim), "double")
         u = u.withColumn("_l", loops("samples")).withColumn("_loop", F.col("_l.value")).drop("_l")
-        checks.append(verdict.check("looping_audio", F.col("_loop") < s.loop_band_frac, F.round("_loop", 3)))
+        checks.append(verdict.check("looping_audio", F.col("_loop") < s.loop_band_frac, rounded("_loop", 3)))
     if transcribe is not None and s.run_asr:
         u = u.withColumn("_t", transcribe("text")).withColumn("asr_transcript", F.col("_t.value")).drop("_t")
         cer = text.character_error_rate(text.score_text(F.col("text")), text.score_text(F.col("asr_transcript")))

@@ -198,3 +198,32 @@ def test_settings_never_crash(raw):
 def test_first_of_each(spark):
     rows = spark.createDataFrame([(2, "a"), (1, "a"), (3, "b")], "seq long, key string")
     assert {(r.seq, r.key) for r in dedup.first_of_each(rows, ["key"], ["seq"]).collect()} == {(1, "a"), (3, "b")}
+
+
+def test_rounding_is_that_of_the_sql(spark):
+    """Halves as DuckDB rounds them: by the scaled double, not by its shortest decimal."""
+    import duckdb
+
+    from tessera.functions.numbers import rounded
+
+    values = [0.07125, 9.12 / 128, 26.5 / 3, -0.07125, 0.0, None, 1e-9, 3.28 / 320, *[k * 0.08 / n for k in range(1, 60) for n in (80, 128, 320, 1600)]]
+    got = [r.x for r in spark.createDataFrame([(v,) for v in values], "v double").select(rounded("v", 4).alias("x")).collect()]
+    con = duckdb.connect()
+    assert got == [con.execute("SELECT round(?::DOUBLE, 4)", [v]).fetchone()[0] for v in values]
+
+
+def test_utterance_checks_at_their_bounds_are_those_of_the_sql(spark, tmp_path):
+    """Lengths in ratios of 1 to 2 and 15 to 4 stand at the bounds of dur_per_char; sums of durations are exact."""
+    import duckdb
+
+    from tessera import queries as Q
+
+    sizes = [(138, 69), (228, 114), (116, 435), (12, 45), (4, 15), (128, 114), (320, 41), (50, 50), (136, 68), (76, 285)]
+    rows = [(k, turn, "user", "x" * n) for k, pair in enumerate(sizes) for turn, n in enumerate(pair)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    for name in ("dur_per_char", "check_flatten", "qc_verdict", "datacard", "per_language", "per_speaker", "failure_reasons", "qc_breakdown", "check_metrics", "distributions"):
+        got, want = Q.QUERIES[name](spark, str(tmp_path)).toPandas(), con.execute(Q.ORACLE[name]).df()
+        columns = sorted(want.columns)
+        assert sorted(map(repr, got[columns].astype(object).values.tolist())) == sorted(map(repr, want[columns].astype(object).values.tolist())), name
