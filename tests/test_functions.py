@@ -227,3 +227,20 @@ def test_utterance_checks_at_their_bounds_are_those_of_the_sql(spark, tmp_path):
         got, want = Q.QUERIES[name](spark, str(tmp_path)).toPandas(), con.execute(Q.ORACLE[name]).df()
         columns = sorted(want.columns)
         assert sorted(map(repr, got[columns].astype(object).values.tolist())) == sorted(map(repr, want[columns].astype(object).values.tolist())), name
+
+
+def test_edit_distance_is_worked_out_once_for_each_row(spark):
+    """Of the plain distance, and in one place of the plan, however many checks and filters use it."""
+    import random
+
+    from tessera import queries as Q
+    from tests.test_queries import plain_distance
+
+    r = random.Random(3)
+    pairs = [tuple("".join(r.choice("abé 𝒳") for _ in range(r.randint(0, 80))) for _ in range(2)) for _ in range(80)] + [("", "ab"), ("ab", ""), ("", ""), (None, "a"), ("a", None)]
+    found = spark.createDataFrame(pairs, "a string, b string").select("a", "b", text.levenshtein("a", "b").alias("d")).collect()
+    assert [x.d for x in found] == [None if x.a is None or x.b is None else plain_distance(x.a, x.b) for x in found]
+    for name in ("distributions", "failure_reasons", "check_metrics"):
+        plan = Q.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        plan = plan.partition("== Initial Plan ==")[2] or plan
+        assert len([x for x in plan.splitlines() if "ArrowEvalPython" in x]) == 1, name
