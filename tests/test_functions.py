@@ -244,3 +244,22 @@ def test_edit_distance_is_worked_out_once_for_each_row(spark):
         plan = Q.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         plan = plan.partition("== Initial Plan ==")[2] or plan
         assert len([x for x in plan.splitlines() if "ArrowEvalPython" in x]) == 1, name
+
+
+def test_parse_lines_has_the_rows_of_its_sql(spark, tmp_path):
+    """Odd line ends, white space and quotes; the stage's own form takes off white space of any kind."""
+    import random
+
+    import duckdb
+
+    from tessera import queries as Q
+
+    r = random.Random(7)
+    bits = ["a", "word", " ", "\n", "\r", "\r\n", "\t", "\x0b", "\x0c", "\x85", " ", " ", "\xa0", "　", "﻿", '"', "“", "”", "-", "*", "•", "1.", "2)", "٣.", "é", "𝒳", "\x1c"]
+    rows = [(k, "".join(r.choice(bits) for _ in range(r.randint(0, 14)))) for k in range(3000)] + [(3000, None), (3001, ' said" \n " x "')]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got = {(x.doc_id, x.n, x.heads) for x in Q.QUERIES["parse_lines"](spark, str(tmp_path)).collect()}
+    assert got == set(con.execute(Q.ORACLE["parse_lines"]).fetchall())
+    assert one(spark, text.parse_lines(F.col("s")), s='" x " \xa0y') == ["x", "y"]
