@@ -3,6 +3,8 @@
 A model is a function over a pandas Series. `plug` makes a column function of
 it: the model is made once for each worker process, rows go through in Arrow
 batches, and an exception on one row becomes that row's error, not the job's.
+Results are handed on by their size, not when a batch is done, since a row of
+text can make a row of sound of a hundred times its bytes.
 """
 
 from __future__ import annotations
@@ -29,13 +31,21 @@ def loaded(make: Callable[[], Callable]) -> Callable:
     return _MADE[make]
 
 
+#: Numbers or characters of results that a worker holds before it hands them on; as Python's own numbers they take some 32 bytes each.
+HELD = 1 << 19
+
+
+def frame(values: list, errors: list) -> pd.DataFrame:
+    return pd.DataFrame({"value": pd.Series(values, dtype=object), "error": pd.Series(errors, dtype=object)})
+
+
 def plug(make: Callable[[], Callable], kind: str):
     """A column function with result struct<value: kind, error: string>; make() loads the model."""
 
     def rows(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = loaded(make)
         for batch in batches:
-            values, errors = [], []
+            values, errors, held = [], [], 0
             for item in batch:
                 try:
                     values.append(model(item))
@@ -43,7 +53,12 @@ def plug(make: Callable[[], Callable], kind: str):
                 except Exception as e:  # one bad row is a failed row
                     values.append(None)
                     errors.append(f"{type(e).__name__}: {e}")
-            yield pd.DataFrame({"value": pd.Series(values, dtype=object), "error": pd.Series(errors, dtype=object)})
+                held += len(values[-1]) if hasattr(values[-1], "__len__") else 1
+                if held >= HELD:
+                    yield frame(values, errors)
+                    values, errors, held = [], [], 0
+            if len(values) or not len(batch):
+                yield frame(values, errors)
 
     rows.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     return F.pandas_udf(rows, f"struct<value: {kind}, error: string>")

@@ -263,3 +263,16 @@ def test_parse_lines_has_the_rows_of_its_sql(spark, tmp_path):
     got = {(x.doc_id, x.n, x.heads) for x in Q.QUERIES["parse_lines"](spark, str(tmp_path)).collect()}
     assert got == set(con.execute(Q.ORACLE["parse_lines"]).fetchall())
     assert one(spark, text.parse_lines(F.col("s")), s='" x " \xa0y') == ["x", "y"]
+
+
+def test_models_hand_results_on_by_their_size(spark):
+    import pandas as pd
+
+    from tessera.functions import models
+
+    voice = models.plug(models.stub_synthesizer, "array<float>")
+    frames = list(voice.func(iter([pd.Series(["x" * 300, ""] * 20), pd.Series([], dtype=object), pd.Series(["ab"])])))
+    assert max(sum(len(v) for v in f["value"] if v) for f in frames) <= models.HELD + 300 * 960
+    whole = pd.concat(frames)
+    assert [v and len(v) for v in whole["value"]] == [288000, None] * 20 + [1920]
+    assert whole["error"].notna().tolist() == [False, True] * 20 + [False]
