@@ -276,3 +276,20 @@ def test_models_hand_results_on_by_their_size(spark):
     whole = pd.concat(frames)
     assert [v and len(v) for v in whole["value"]] == [288000, None] * 20 + [1920]
     assert whole["error"].notna().tolist() == [False, True] * 20 + [False]
+
+
+def test_places_in_runs(spark, monkeypatch):
+    """Places by id, found in many runs; a run holds a part of its language."""
+    from tessera.operators import pairing
+
+    monkeypatch.setattr(pairing, "RUN_ROWS", 40)
+    ids = {"a": [f"s{k * 7919 % 5000:05d}" for k in range(1500)], "b": [f"é{k}" for k in range(300)], "none": ["x1"]}
+    sents = spark.createDataFrame([(lang, i, "t") for lang, own in ids.items() for i in own], "language string, id string, text string")
+    got = {(r.language, r.id): r._k for r in pairing.in_places(sents, "language", "id").collect()}
+    assert got == {(lang, i): k for lang, own in ids.items() for k, i in enumerate(sorted(own))}
+    refs = spark.createDataFrame([("a", f"r{k}") for k in range(3)] + [("b", "q"), (None, "z")], "language string, ref_id string")
+    found = pairing.round_robin(sents, refs)
+    assert {(r.language, r.id): r.ref_id for r in found.collect()} == {(lang, i): f"r{k % 3}" if lang == "a" else "q" for lang in "ab" for k, i in enumerate(sorted(ids[lang]))}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    windows = [x for x in plan.splitlines() if "row_number" in x and "Window [" in x and "id#" in x.split("Window")[1] and "ref_id" not in x.split("Window")[1]]
+    assert windows and all("_run" in x for x in windows)
