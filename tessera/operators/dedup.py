@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -85,7 +88,12 @@ def grid(*sides: DataFrame) -> DataFrame:
     return out
 
 
-ACCEPT_SCHEMA = "seq long, language string, cell string, outcome string"
+SOUND_SCHEMA = "language string, cell string, key string, vector array<float>, seq long"
+ACCEPTED_SCHEMA = "seq long, language string, cell string, key string, nth int"
+#: Rows of a cell that are tried at first, for each one that it takes.
+FIRST = 8
+#: The place of what an earlier run accepted.
+BEFORE = -(1 << 62)
 
 
 class Pool:
@@ -109,6 +117,15 @@ class Pool:
             self.n += 1
 
 
+def sound_of(fault: str) -> Column:
+    return F.coalesce(fault, F.lit("")) == ""
+
+
+def sound_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.filter(pc.equal(pc.fill_null(batch["fault"], ""), "")).drop_columns(["fault"])
+
+
 def accept_in_order(candidates: DataFrame, quota: int, threshold: float, earlier: DataFrame | None = None) -> DataFrame:
     """Fold candidates (seq, language, cell, key, fault, vector) in order of seq within each language.
 
@@ -116,39 +133,72 @@ def accept_in_order(candidates: DataFrame, quota: int, threshold: float, earlier
     get their fault, exact_duplicate, near_duplicate or accepted; accepted ones
     count in their cell and stand in the way of later ones. earlier: what an
     earlier run accepted (language, cell, key, vector); it counts as if it had
-    come first and gets no outcome. The order decides, so a language is one
-    group: its rows stream through one task, in order, and the state holds
-    accepted candidates only, cells times quota of them.
+    come first and gets no outcome.
+
+    The order decides, so a language's candidates stream through one task. Only
+    those go there that can change what it has accepted: of a cell, the first
+    rows without a fault, each kind of (key, vector) once, since its repeats
+    find the first accepted or as near as before. FIRST times quota rows of a
+    cell are tried; cells that these don't fill get more. So what a task reads
+    depends on cells and quota; only a cell that most rows repeat or come near
+    needs more. All other outcomes follow from the places of accepted rows, by
+    joins. seq is unique in its language; candidates are read several times, so
+    they must come out the same each time.
     """
-    columns = ["seq", "language", "cell", "key", "fault", "vector"]
-    rows = candidates.select(*columns, F.lit(False).alias("held"))
+    if quota < 1:
+        return candidates.limit(0).select("seq", "language", "cell", F.col("fault").alias("outcome"))
+    # Taken out here, not by a filter: under a filter Spark left the models of a projection with two kinds of them in the plan, where they can't run.
+    sound = candidates.select("language", "cell", "key", "vector", "seq", "fault").mapInArrow(sound_rows, SOUND_SCHEMA)
+    kinds = sound.groupBy("language", "cell", "key", "vector").agg(F.min("seq").alias("seq"))
+    ranked = kinds.withColumn("place", F.row_number().over(Window.partitionBy("language", "cell").orderBy("seq")))
+    held = None
     if earlier is not None:
-        rows = rows.unionByName(earlier.select(F.lit(-1).cast("long").alias("seq"), "language", "cell", "key", F.lit(None).cast("string").alias("fault"), "vector", F.lit(True).alias("held")))
-    laid = rows.repartition("language").sortWithinPartitions("language", F.col("held").desc(), "seq")
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        language, pool = None, Pool()
-        for batch in batches:
-            out = []
-            columns = (batch[c].tolist() for c in ("seq", "language", "cell", "key", "fault", "vector", "held"))
-            for seq, own, cell, key, fault, vector, held in zip(*columns):
-                if own != language:
-                    language, pool = own, Pool()
-                v = None if vector is None else np.asarray(vector, dtype=np.float32)
-                if held:
-                    pool.add(key, cell, v)
-                    continue
-                if pool.filled.get(cell, 0) >= quota:
-                    continue
-                outcome = fault or ("exact_duplicate" if key in pool.keys else None)
-                if outcome is None and v is not None and pool.near(v, threshold):
-                    outcome = "near_duplicate"
-                if outcome is None:
+        held = earlier.select("language", "cell", "key", "vector", F.lit(BEFORE).cast("long").alias("seq"), F.lit(0).alias("place"))
+    columns, most = ["seq", "language", "cell", "key", "vector", "place"], FIRST * quota
+
+    def accepted_of(most: int) -> list[Row]:
+        """What is accepted if `most` rows of a cell are tried, and for cells that these don't fill a row with nth 0 if there are more."""
+
+        def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            language, pool = None, Pool()
+            for batch in batches:
+                out = []
+                for seq, own, cell, key, vector, place in zip(*(batch[c].tolist() for c in columns)):
+                    if own != language:
+                        language, pool = own, Pool()
+                    if place and pool.filled.get(cell, 0) >= quota:
+                        continue
+                    if place > most:
+                        out.append((int(seq), language, cell, key, 0))
+                        continue
+                    v = None if vector is None else np.asarray(vector, dtype=np.float32)
+                    if place and (key in pool.keys or v is not None and pool.near(v, threshold)):
+                        continue
                     pool.add(key, cell, v)
-                out.append((int(seq), language, cell, outcome or "accepted"))
-            yield pd.DataFrame(out, columns=["seq", "language", "cell", "outcome"])
-
-    return laid.mapInPandas(fold, ACCEPT_SCHEMA)
+                    out.append((int(seq), language, cell, key, pool.filled[cell]))
+                yield pd.DataFrame(out, columns=["seq", "language", "cell", "key", "nth"])
+
+        rows = ranked.filter(F.col("place") <= most + 1).select(*columns)
+        rows = rows if held is None else rows.unionByName(held)
+        laid = rows.repartition("language").sortWithinPartitions("language", F.col("place") > 0, "seq")
+        return laid.mapInPandas(fold, ACCEPTED_SCHEMA).collect()  # cells times quota, and what was there earlier
+
+    accepted = accepted_of(most)
+    while not all(r.nth for r in accepted):
+        most *= 8
+        accepted = accepted_of(most)
+    table = candidates.sparkSession.createDataFrame(accepted, ACCEPTED_SCHEMA)
+    ends = table.filter(F.col("nth") >= quota).groupBy("language", "cell").agg(F.min("seq").alias("_end"))
+    firsts = table.groupBy("language", "key").agg(F.min("seq").alias("_first"))
+    own = candidates.select("seq", "language", "cell", "key", "fault").alias("c")
+    same = lambda side, *on: [F.col(f"c.{x}").eqNullSafe(F.col(f"{side}.{x}")) for x in on]
+    own = own.join(F.broadcast(ends).alias("e"), reduce(and_, same("e", "language", "cell")), "left").filter("e._end IS NULL OR c.seq <= e._end")
+    own = own.join(F.broadcast(firsts).alias("f"), reduce(and_, same("f", "language", "key")), "left")
+    outcome = (
+        F.when(~sound_of("c.fault"), F.col("c.fault")).when(F.col("c.seq") == F.col("f._first"), "accepted")
+        .when(F.col("f._first") < F.col("c.seq"), "exact_duplicate").otherwise("near_duplicate")
+    )
+    return own.select("c.seq", "c.language", "c.cell", outcome.alias("outcome"))
 
 
 def outcome_counts(outcomes: DataFrame, by: str = "outcome") -> DataFrame:

@@ -143,3 +143,41 @@ def test_near_pairs_in_many_slices(spark, monkeypatch):
     got = sorted((r.a, r.b, r.similarity) for r in found.collect())
     assert len(want) > 200 and [x[:2] for x in got] == [x[:2] for x in want]
     assert max(abs(x[2] - y[2]) for x, y in zip(got, want)) < 1e-12
+
+
+def test_accept_tries_few_rows_of_a_cell(spark, monkeypatch):
+    """The plain loop over cells that repeat themselves, with an earlier pool; a task gets the rows that decide, not the language."""
+    import random
+
+    import numpy as np
+
+    from tessera.operators import dedup
+
+    monkeypatch.setattr(dedup, "FIRST", 1)
+    r, quota = random.Random(11), 5
+    vectors = [[float(x) for x in v / np.linalg.norm(v)] for v in np.random.default_rng(2).normal(size=(40, 3)).astype(np.float32)]
+    rows = []
+    for seq in range(3000):
+        few = r.random() < 0.8
+        k = r.randrange(3 if few else 40)
+        rows.append((seq, r.choice("ab"), f"c{r.randrange(4) if few else 4 + r.randrange(9)}", r.choice([f"k{k}", f"k{k}", None]), r.choice([None, None, "bad", ""]), None if k % 13 == 12 else vectors[k]))
+    old = [("a", "c0", "k1", vectors[1]), *[("a", "c9", f"old{k}", None) for k in range(5)]]
+    pools, want = {}, {}
+    for seq, lang, cell, key, fault, v in [(None, *o[:3], None, o[3]) for o in old] + rows:
+        keys, near, filled = pools.setdefault(lang, (set(), [], {}))
+        if seq is not None:
+            if filled.get(cell, 0) >= quota:
+                continue
+            if fault or key in keys or v and near and max(float(np.float32(v) @ np.float32(o)) for o in near) >= 0.95:
+                want[seq] = fault or ("exact_duplicate" if key in keys else "near_duplicate")
+                continue
+            want[seq] = "accepted"
+        keys.add(key)
+        filled[cell] = filled.get(cell, 0) + 1
+        near += [v] if v else []
+    frame = spark.createDataFrame(rows, "seq long, language string, cell string, key string, fault string, vector array<float>")
+    found = dedup.accept_in_order(frame, quota, 0.95, spark.createDataFrame(old, "language string, cell string, key string, vector array<float>"))
+    assert {x.seq: x.outcome for x in found.collect()} == want
+    assert set(want.values()) == {"accepted", "bad", "exact_duplicate", "near_duplicate"} and len(want) < len(rows)
+    assert "MapInPandas" not in found._jdf.queryExecution().executedPlan().toString()
+    assert dedup.accept_in_order(frame, 0, 0.95).count() == 0
