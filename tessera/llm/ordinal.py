@@ -159,10 +159,14 @@ def learn(rows: Rows, told: np.ndarray, steps: int = STEPS) -> Model:
 
 def best_screen(rows: Rows) -> float:
     """The screen whose models give the least loss on rows that they didn't see, each FOLDS-th row in turn."""
-    fold = np.arange(len(rows.grades)) % FOLDS
-    parts = [(rows.of(fold != k), rows.of(fold == k)) for k in range(FOLDS)]
-    parts = [(seen, evidence(seen), held) for seen, held in parts if len(seen.grades) and len(held.grades)]
-    return min(SCREENS, key=lambda s: sum(loss(learn(seen, strength > s, SEARCH_STEPS), held) * len(held.grades) for seen, strength, held in parts))
+    fold, losses = np.arange(len(rows.grades)) % FOLDS, dict.fromkeys(SCREENS, 0.0)
+    for k in range(FOLDS):  # one after the other: the driver holds one fold's copy of the rows
+        seen, held = rows.of(fold != k), rows.of(fold == k)
+        if len(seen.grades) and len(held.grades):
+            strength = evidence(seen)
+            for s in SCREENS:
+                losses[s] += loss(learn(seen, strength > s, SEARCH_STEPS), held) * len(held.grades)
+    return min(SCREENS, key=losses.get)
 
 
 def fit(rated: list[tuple[int, np.ndarray]]) -> Model:

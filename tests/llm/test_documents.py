@@ -542,3 +542,21 @@ def test_pipeline(spark, empty_dir):
     assert out.groupby("sequence_id").length.sum().max() <= 2048
     assert out.sequence_id.nunique() == plain_best_fit(out.length.tolist(), 2048)
     assert corpus_pipeline.run(spark, empty_dir).count() == 0
+
+
+def test_screens_are_tried_with_one_fold_in_memory():
+    import tracemalloc
+
+    import numpy as np
+
+    from tessera.llm import ordinal
+
+    r = np.random.default_rng(4)
+    owner = np.repeat(np.arange(2000), 150)
+    rows = ordinal.Rows(r.integers(0, 3, 2000), r.integers(0, ordinal.BUCKETS, len(owner)), owner)
+    tracemalloc.start()
+    found = ordinal.best_screen(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    print(peak / (rows.flat.nbytes + rows.owner.nbytes))
+    assert found in ordinal.SCREENS and peak < 5.5 * (rows.flat.nbytes + rows.owner.nbytes)
